@@ -71,8 +71,8 @@ def top_causes(rca: DataFrame, cfg: IncidentConfig = IncidentConfig(), detector:
     rows = rows.withColumn("_pref", F.col("dimension_type").isin(*cfg.interaction_types))
     order = [
         F.desc("_pref"),
-        F.desc("contribution_share"),
-        F.desc("degradation_amount"),
+        F.desc(F.round("contribution_share", 10)),  # rounded: sums differ in their last bits
+        F.desc(F.round("degradation_amount", 8)),
         F.col("dimension_type"),
         F.col("dimension_value"),
     ]

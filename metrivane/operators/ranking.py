@@ -28,11 +28,16 @@ def rank_with_totals(
     """Rank rows of a group by ``amount`` descending and attach the group's sum of ``amount``.
 
     Groups are cut into blocks of similar magnitude (a monotone function of the
-    positive ``amount``).  Block counts and sums are pre-aggregated, their running
-    counts give each block its first rank, and only a block is sorted in a task.
+    ``amount``, which is positive).  Block counts and sums are pre-aggregated, their
+    running counts give each block its first rank, and only a block is sorted in a task.
+
+    Amounts are compared rounded: as sums they differ in their last bits with the
+    order partial sums arrive in, and equal members must rank alike on every run.
     """
-    block = F.floor(F.log2(amount) * -64)  # larger amounts first; a few thousand blocks at most
-    split = df.withColumn("_block", block)
+    size = F.round(amount, 9)
+    # larger amounts first; a few thousand blocks at most, amounts that round to 0 in the last
+    block = F.coalesce(F.floor(F.log2(size) * -64), F.lit(1 << 20))
+    split = df.withColumn("_size", size).withColumn("_block", block)
     blocks = split.groupBy(*group, "_block").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
     whole = Window.partitionBy(*group)
     blocks = blocks.select(
@@ -41,11 +46,11 @@ def rank_with_totals(
         (F.sum("_n").over(whole.orderBy("_block")) - F.col("_n")).alias("_before"),
         F.sum("_s").over(whole).alias(total),
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(F.desc(amount), *ties)
+    inside = Window.partitionBy(*group, "_block").orderBy(F.desc("_size"), *ties)
     joined = split.join(blocks, [*group, "_block"])
     return joined.withColumn(
         rank, (F.row_number().over(inside) + F.col("_before")).cast("int")
-    ).drop("_block", "_before")
+    ).drop("_size", "_block", "_before")
 
 
 def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -168,16 +168,26 @@ def add_statement(table: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-# Total orders: ties beyond share and degradation go by date, KPI and member.
+# Total orders: ties beyond share and degradation go by date, KPI and member.  Both are
+# sums whose last bits depend on the order partial sums arrive in, so they are compared
+# rounded: the same table ranks the same way on every run.
 _TIES = ["analysis_date", "kpi_name", "dimension_type", "dimension_value"]
 
 
+def _share():
+    return F.desc(F.round("contribution_share", 10))
+
+
+def _amount():
+    return F.desc(F.round("degradation_amount", 8))
+
+
 def by_share():
-    return [F.desc("contribution_share"), F.desc("degradation_amount"), *_TIES]
+    return [_share(), _amount(), *_TIES]
 
 
 def by_degradation():
-    return [F.desc("degradation_amount"), F.desc("contribution_share"), *_TIES]
+    return [_amount(), _share(), *_TIES]
 
 
 def overall_top(table: DataFrame, rca: RcaConfig = RcaConfig()) -> DataFrame:

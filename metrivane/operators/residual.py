@@ -240,9 +240,10 @@ def predict_ridge(
     return score_ridge(df, model, f, settings.detector)
 
 
-def predict_gbt(df: DataFrame, settings: Settings) -> DataFrame:
+def predict_gbt(df: DataFrame, settings: Settings, parallelism: int = 4) -> DataFrame:
     """Boosted trees per group; each group is one distributed fit, so groups must be few."""
     from functools import reduce
+    from multiprocessing.pool import ThreadPool
 
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import GBTRegressor
@@ -268,15 +269,17 @@ def predict_gbt(df: DataFrame, settings: Settings) -> DataFrame:
         featureSubsetStrategy=str(cfg.colsample),
         seed=cfg.seed,
     )
-    scored = []
-    for row in listed:
+
+    def score(row):
         same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.lit(row[g])) for g in groups])
         part = rows.where(same)
         if row["_n"] < cfg.min_train_rows:
-            scored.append(part.withColumn("predicted_value", F.col("moving_baseline")))
-        else:
-            train = part.where((F.col("date") < F.lit(f.split)) & F.col("actual_value").isNotNull())
-            scored.append(trees.fit(train).transform(part))
+            return part.withColumn("predicted_value", F.col("moving_baseline"))
+        train = part.where((F.col("date") < F.lit(f.split)) & F.col("actual_value").isNotNull())
+        return trees.fit(train).transform(part)
+
+    with ThreadPool(parallelism) as pool:  # independent Spark jobs, as in cross-validation
+        scored = pool.map(score, listed)
     return reduce(DataFrame.unionByName, scored).select(*df.columns, "predicted_value")
 
 

@@ -13,7 +13,7 @@ from metrivane.operators.joins import with_one_row
 Tables = Mapping[str, DataFrame]
 
 
-def _dated(t: Tables, fact: str, key: str, name: str) -> DataFrame:
+def _dated(t: Tables, fact: DataFrame, key: str, name: str) -> DataFrame:
     """A fact or mart with its date and KPI name.
 
     The dimension tables are stored tables (or were measured when built), so the
@@ -21,12 +21,12 @@ def _dated(t: Tables, fact: str, key: str, name: str) -> DataFrame:
     """
     dates = t["dim_date"].select(F.col("date_key").alias(key), F.col("date_value").alias(name))
     kpis = t["dim_kpi"].select("kpi_key", "kpi_name")
-    return t[fact].join(dates, key).join(kpis, "kpi_key")
+    return fact.join(dates, key).join(kpis, "kpi_key")
 
 
 def health_by_day(t: Tables) -> DataFrame:
     return (
-        _dated(t, "mart_kpi_health", "date_key", "day")
+        _dated(t, t["mart_kpi_health"], "date_key", "day")
         .select("day", "kpi_name", "monitored_rows", "warning_rows", "critical_rows", "breach_rows", "health_score",
                 "avg_percent_variance")
         .orderBy(F.desc("day"), "kpi_name")
@@ -42,9 +42,9 @@ def anomalies_by_severity(t: Tables) -> DataFrame:
 
 
 def top_contributors(t: Tables, n: int = 3) -> DataFrame:
-    cut = {**t, "fact_rca_contributions": t["fact_rca_contributions"].where(F.col("contribution_rank") <= n)}
+    rows = t["fact_rca_contributions"].where(F.col("contribution_rank") <= n)
     return (
-        _dated(cut, "fact_rca_contributions", "analysis_date_key", "analysis_date")
+        _dated(t, rows, "analysis_date_key", "analysis_date")
         .select("analysis_date", "kpi_name", "dimension_type", "dimension_value", "degradation_amount",
                 "contribution_share", "contribution_rank")
         .orderBy(F.desc("analysis_date"), "kpi_name", F.desc("contribution_share"), "dimension_type", "dimension_value")
@@ -53,7 +53,7 @@ def top_contributors(t: Tables, n: int = 3) -> DataFrame:
 
 def incident_summary(t: Tables) -> DataFrame:
     return (
-        _dated(t, "mart_incident_summary", "incident_date_key", "incident_date")
+        _dated(t, t["mart_incident_summary"], "incident_date_key", "incident_date")
         .select("incident_date", "kpi_name", "severity", "confidence_label", "confidence_score", "detector_used",
                 "top_root_cause", "recommended_action")
         .orderBy(F.desc("incident_date"), F.desc("severity"), "kpi_name")
@@ -102,7 +102,7 @@ def segment_search(t: Tables, kpi: str, words: list[str]) -> DataFrame:
     for w in words:
         rows = rows.where(F.col("dimension_value").ilike(f"%{w}%"))
     return (
-        _dated({**t, "fact_rca_contributions": rows}, "fact_rca_contributions", "analysis_date_key", "analysis_date")
+        _dated(t, rows, "analysis_date_key", "analysis_date")
         .where(F.col("kpi_name") == kpi)
         .select("analysis_date", "kpi_name", "dimension_type", "dimension_value", "degradation_amount",
                 "contribution_share", "recommended_action")
@@ -139,7 +139,7 @@ def slice_rca(table: DataFrame, kpi: str, date, dimension_type: str, detector: s
         & (F.col("analysis_date") == F.lit(date).cast("date"))
         & (F.col("dimension_type") == dimension_type)
         & (F.col("detector_used") == detector)
-    ).orderBy(F.desc("contribution_share"), F.desc("degradation_amount"), "dimension_value")
+    ).orderBy(F.desc(F.round("contribution_share", 10)), F.desc(F.round("degradation_amount", 8)), "dimension_value")
     return rows if n is None else rows.limit(n)
 
 

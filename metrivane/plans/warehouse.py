@@ -284,7 +284,11 @@ def anomaly_counts(events: DataFrame, detector: str = "residual_anomaly") -> Dat
 def incident_enriched(incidents: DataFrame, ranked: DataFrame, counts: DataFrame) -> DataFrame:
     """Incidents with their leading cause and anomaly count; absent ones fall back to the history."""
     key = ["analysis_date", "kpi_name", "detector_used"]
-    order = [F.desc("contribution_share"), F.desc("degradation_amount"), F.col("dimension_type")]
+    order = [
+        F.desc(F.round("contribution_share", 10)),
+        F.desc(F.round("degradation_amount", 8)),
+        F.col("dimension_type"),
+    ]
     best = top_n(ranked.where(F.col("contribution_rank") == 1), key, order, 1).select(
         F.col("analysis_date").alias("incident_date"),
         "kpi_name",
@@ -396,8 +400,8 @@ def mart_incident_summary(fact: DataFrame) -> DataFrame:
 def mart_root_cause_summary(fact: DataFrame, star: Star) -> DataFrame:
     """The leading cause per (date, KPI) with a sentence that names the KPI."""
     order = [
-        F.desc("contribution_share"),
-        F.desc("degradation_amount"),
+        F.desc(F.round("contribution_share", 10)),
+        F.desc(F.round("degradation_amount", 8)),
         F.col("detector_used"),
         F.col("dimension_type"),
         F.col("dimension_value"),
