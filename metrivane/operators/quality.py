@@ -108,13 +108,19 @@ def _accepted_text(values) -> list[str]:
     return [str(v).lower() if isinstance(v, bool) else str(v) for v in values]
 
 
+def _as_text(column: str, values) -> Column:
+    """The cell as text; flags are compared without case, as text scans spell them True or true."""
+    text = F.col(column).cast("string")
+    return F.lower(text) if values and all(isinstance(v, bool) for v in values) else text
+
+
 def offending_values(df: DataFrame, contract: Contract, n: int = 10) -> DataFrame:
     """Values outside the accepted lists: (column, value, rows, position), first ``n`` per column.
 
     Distinct offenders are counted distributed; only ``n`` per column are kept.
     """
     pairs = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("column"), _as_text(c, contract.accepted[c]).alias("value"))
         for c in _present(df, contract.accepted)
     ]
     if not pairs:

@@ -31,13 +31,16 @@ def rank_with_totals(
     ``amount``, which is positive).  Block counts and sums are pre-aggregated, their
     running counts give each block its first rank, and only a block is sorted in a task.
 
+    ``df`` is staged, because it is read for the blocks and again for the rows: what it
+    was computed from is then computed once.
+
     Amounts are compared rounded: as sums they differ in their last bits with the
     order partial sums arrive in, and equal members must rank alike on every run.
     """
     size = F.round(amount, 9)
     # larger amounts first; a few thousand blocks at most, amounts that round to 0 in the last
     block = F.coalesce(F.floor(F.log2(size) * -64), F.lit(1 << 20))
-    split = df.withColumn("_size", size).withColumn("_block", block)
+    split = stage(df.withColumn("_size", size).withColumn("_block", block))
     blocks = split.groupBy(*group, "_block").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
     whole = Window.partitionBy(*group)
     blocks = blocks.select(

@@ -9,6 +9,8 @@ Scoring is a native expression over the joined coefficients.
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +25,7 @@ from metrivane.operators.medians import exact_median
 from metrivane.session import stage
 
 NUMERIC = ("moving_baseline", "days_since_start", "day_of_week", "month")
+MAX_DATES = 100_000  # distinct dates held on the driver; 270 years of days
 MAX_FEATURES = 2_000  # a p x p matrix must fit a task; beyond it fitting raises
 MERGE_WAYS = 32
 
@@ -65,17 +68,21 @@ def describe_features(
     """
     cfg = settings.detector
     dims = [d for d in settings.dimensions if d not in cfg.group_columns] if one_hot is None else list(one_hot)
-    vocabulary: dict[str, tuple[str, ...]] = {}
-    if dims:
-        sizes = df.agg(*[F.approx_count_distinct(d).alias(d) for d in dims]).first()
-        if sum(sizes) > MAX_FEATURES:
-            raise ValueError(
-                f"{sum(sizes)} one-hot columns exceed {MAX_FEATURES}: "
-                "fit at a finer grain by adding the large dimensions to group_columns"
-            )
-        members = df.agg(*[F.array_sort(F.collect_set(d)).alias(d) for d in dims]).first()
-        vocabulary = {d: tuple(members[d]) for d in dims}
-    start, split = split_date(df, cfg.train_fraction).first()
+    # Distinct dates and members in one pass; dates are bounded by the calendar, members by the check.
+    pairs = [F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in ["date", *dims]]
+    cells = df.select(F.inline(F.array(*pairs))).where(F.col("v").isNotNull()).groupBy("k", "v").count()
+    found = cells.select("k", "v").limit(MAX_DATES + MAX_FEATURES + 1).collect()
+    listed = {c: sorted(row["v"] for row in found if row["k"] == c) for c in ["date", *dims]}
+    size = sum(len(listed[d]) for d in dims)
+    if size > MAX_FEATURES or len(listed["date"]) > MAX_DATES:
+        raise ValueError(
+            f"more than {MAX_FEATURES} one-hot columns or {MAX_DATES} dates: "
+            "fit at a finer grain by adding the large dimensions to group_columns"
+        )
+    vocabulary = {d: tuple(listed[d]) for d in dims}
+    dates = [dt.date.fromisoformat(v) for v in listed["date"]]
+    at = max(1, min(len(dates) - 1, math.floor(len(dates) * cfg.train_fraction)))
+    start, split = (dates[0] if dates else None), (dates[at] if at < len(dates) else None)
     fill = None
     if "moving_baseline" in numeric:
         row = exact_median(df, [], "moving_baseline").first()

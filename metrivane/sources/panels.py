@@ -23,9 +23,15 @@ def to_long(wide: DataFrame, keys: list[str], kpis: dict[str, Column], extra: tu
     return long.select(keys[0], "kpi_name", *keys[1:], *extra, "kpi_value")
 
 
-def exact_sum(c: Column) -> Column:
-    """Sum of money amounts: exact, so independent of the order rows arrive in."""
-    return F.sum(c.cast("decimal(18,2)")).cast("double")
+def cents(c: Column | str) -> Column:
+    """An amount with two decimals as whole hundredths."""
+    return F.floor((F.col(c) if isinstance(c, str) else c) * 100.0 + 0.5)
+
+
+def exact_sum(c: Column | str) -> Column:
+    """Sum of amounts with two decimals, over whole hundredths: the result does not depend on
+    the order partial sums arrive in, and an overflow raises instead of rounding."""
+    return F.sum(cents(c)) / 100.0
 
 
 EVENT_DIMENSIONS = ("kpi_name", "tier", "band")
@@ -107,13 +113,13 @@ def orders_panel(spark: SparkSession, folder: str) -> DataFrame:
     # per customer first, so that distinct customers are a plain count and no key is expanded
     per_customer = joined.groupBy(*cell, "o_custkey").agg(
         F.count("*").alias("orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("revenue"),
+        F.sum(cents("o_totalprice")).alias("revenue"),
         F.count_if(F.col("o_orderstatus") == "F").alias("finished"),
     )
     wide = per_customer.groupBy(*cell).agg(
         F.sum("orders").alias("orders"),
         F.count("*").alias("customers"),
-        F.sum("revenue").cast("double").alias("revenue"),
+        (F.sum("revenue") / 100.0).alias("revenue"),
         F.sum("finished").alias("finished"),
     )
     kpis = {
@@ -153,18 +159,18 @@ def lineitem_panel(spark: SparkSession, folder: str) -> DataFrame:
         "priority",
         F.col("l_returnflag").alias("return_flag"),
         F.col("l_linestatus").alias("line_status"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("q"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("p"),
-        F.col("l_discount").cast("decimal(18,2)").alias("d"),
-        F.col("l_tax").cast("decimal(18,2)").alias("t"),
+        F.col("l_quantity").alias("q"),
+        F.col("l_extendedprice").alias("p"),
+        F.col("l_discount").alias("d"),
+        F.col("l_tax").alias("t"),
     )
     cell = ["date", "region", "segment", "priority", "return_flag", "line_status"]
     wide = rows.groupBy(*cell).agg(
         F.count("*").alias("lines"),
-        F.sum("q").cast("double").alias("quantity"),
-        F.sum("p").cast("double").alias("gross"),
-        F.sum("d").cast("double").alias("discounted"),
-        F.sum("t").cast("double").alias("taxed"),
+        exact_sum("q").alias("quantity"),
+        exact_sum("p").alias("gross"),
+        exact_sum("d").alias("discounted"),
+        exact_sum("t").alias("taxed"),
     )
     kpis = {
         "units_per_line": ratio("quantity", "lines"),
