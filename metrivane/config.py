@@ -132,6 +132,8 @@ class Settings:
     detector: DetectorConfig = DetectorConfig()
     rca: RcaConfig = RcaConfig()
     incident: IncidentConfig = IncidentConfig()
+    # Calendar days per independently computed block of a series; None: whole series.
+    block_days: int | None = None
 
     def __post_init__(self):
         check_dimensions(self.dimensions)

@@ -129,7 +129,7 @@ def detect(monitoring: DataFrame, labelled: DataFrame, settings: Settings = Sett
     """
     from metrivane.operators.residual import predict
 
-    scored = add_zscore(monitoring, settings.dimensions, settings.detector)
+    scored = add_zscore(monitoring, settings.dimensions, settings.detector, settings.block_days)
     scored = add_residual_flags(predict(scored, settings), settings)
     return anomaly_table(add_combined(scored), labelled, settings.dimensions)
 

@@ -39,12 +39,12 @@ def require(df: DataFrame, columns, what: str) -> None:
         raise ValueError(f"Cannot build {what}. Missing columns: {missing}")
 
 
-def monitor(panel: DataFrame, settings: Settings = Settings(), block_days: int | None = None) -> DataFrame:
+def monitor(panel: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The monitoring table: same grain as the panel, twelve measures."""
     dims = check_dimensions(settings.dimensions)
     require(panel, ["date", "kpi_value", *dims], "the monitoring table")
     rows = panel.select(day("date").alias("date"), *dims, number("kpi_value").alias("actual_value"))
-    rows = add_trailing(rows, dims, TRAILING, block_days=block_days)
+    rows = add_trailing(rows, dims, TRAILING, block_days=settings.block_days)
     return add_status(add_variance(rows), settings).select("date", *dims, *MEASURES)
 
 

@@ -2,6 +2,7 @@
 
 All per-row checks are counters of one aggregate, so a table is scanned once for
 them; dates and volume come from per-day counts, duplicates from per-key counts.
+A table is thus read three times: pass a stored or staged one.
 The result is one row per check; ``report`` rolls it up.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metrivane.config import CHECK_WEIGHTS, Contract
-from metrivane.functions.scalars import day, half_even, is_flag, number
+from metrivane.functions.scalars import day, half_even, is_flag, lookup, number
 from metrivane.operators.joins import with_one_row
 from metrivane.operators.ranking import top_n
 
@@ -58,10 +59,12 @@ def cell_counts(df: DataFrame, contract: Contract) -> DataFrame:
     types = _present(df, contract.types)
     nulls = _present(df, contract.non_null)
     ranges = _present(df, contract.ranges)
+    accepted = _present(df, contract.accepted)
     counters = [F.count("*").alias("rows")]
     counters += [F.count_if(_invalid(c, contract.types[c])).alias(f"_t{i}") for i, c in enumerate(types)]
     counters += [F.count_if(_missing(df, c)).alias(f"_n{i}") for i, c in enumerate(nulls)]
     counters += [F.count_if(_out_of_range(c, *contract.ranges[c])).alias(f"_r{i}") for i, c in enumerate(ranges)]
+    counters += [F.count_if(~_is_accepted(c, contract)).alias(f"_a{i}") for i, c in enumerate(accepted)]
 
     def failures(prefix, names):
         pairs = [x for i, c in enumerate(names) for x in (F.lit(c), F.col(f"{prefix}{i}"))]
@@ -73,6 +76,7 @@ def cell_counts(df: DataFrame, contract: Contract) -> DataFrame:
         failures("_t", types).alias("type_failures"),
         failures("_n", nulls).alias("null_failures"),
         failures("_r", ranges).alias("range_failures"),
+        failures("_a", accepted).alias("accepted_failures"),
     )
 
 
@@ -114,23 +118,29 @@ def _as_text(column: str, values) -> Column:
     return F.lower(text) if values and all(isinstance(v, bool) for v in values) else text
 
 
+def _is_accepted(column: str, contract: Contract) -> Column:
+    """Whether a cell is in its accepted list; a missing cell passes."""
+    values = contract.accepted[column]
+    hit = _as_text(column, values).isin(*_accepted_text(values))
+    return F.coalesce(hit, F.lit(True))
+
+
 def offending_values(df: DataFrame, contract: Contract, n: int = 10) -> DataFrame:
     """Values outside the accepted lists: (column, value, rows, position), first ``n`` per column.
 
     Distinct offenders are counted distributed; only ``n`` per column are kept.
     """
-    pairs = [
-        F.struct(F.lit(c).alias("column"), _as_text(c, contract.accepted[c]).alias("value"))
-        for c in _present(df, contract.accepted)
-    ]
-    if not pairs:
+    columns = _present(df, contract.accepted)
+    if not columns:
         return df.sparkSession.createDataFrame([], "column string, value string, rows bigint, position int")
-    accepted = F.lit(False)
-    for c in _present(df, contract.accepted):
-        accepted = accepted | (
-            (F.col("column") == c) & F.col("value").isin(*_accepted_text(contract.accepted[c]))
+    pairs = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.when(~_is_accepted(c, contract), _as_text(c, contract.accepted[c])).alias("value"),
         )
-    cells = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull() & ~accepted)
+        for c in columns
+    ]
+    cells = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull())
     counted = cells.groupBy("column", "value").agg(F.count("*").alias("rows"))
     return top_n(counted, ["column"], [F.col("value")], n, "position")
 
@@ -147,11 +157,7 @@ def run_checks(df: DataFrame, contract: Contract, as_of: dt.date | str) -> DataF
     """One row per check: check, passed, score, weight, issue_count, failures, summary."""
     missing = [c for c in contract.required if c not in df.columns]
     key = _present(df, contract.key)
-    offenders = offending_values(df, contract).groupBy("column").agg(F.sum("rows").alias("rows"))
     facts = with_one_row(cell_counts(df, contract), day_counts(df))
-    facts = with_one_row(
-        facts, offenders.agg(F.map_from_entries(F.collect_list(F.struct("column", "rows"))).alias("accepted_failures"))
-    )
     copies = (
         duplicate_groups(df, key).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("copies"))
         if key
@@ -238,8 +244,9 @@ def report(checks: DataFrame) -> DataFrame:
     """One row: status, health score and the summaries of failed checks."""
     lost = F.sum(F.col("weight") * (1 - F.col("score")))
     score = F.greatest(F.lit(0), F.least(F.lit(100), half_even(100 - lost).cast("int")))
-    issues = F.sort_array(F.collect_list(F.when(~F.col("passed"), F.col("summary"))))
-    rolled = checks.agg(score.alias("health_score"), issues.alias("issues"))
+    place = lookup("check", {name: i for i, name in enumerate(CHECK_WEIGHTS)})
+    failed = F.sort_array(F.collect_list(F.when(~F.col("passed"), F.struct(place.alias("at"), "summary"))))
+    rolled = checks.agg(score.alias("health_score"), F.transform(failed, lambda x: x["summary"]).alias("issues"))
     healthy = (F.col("health_score") >= 90) & (F.size("issues") == 0)
     return rolled.select(
         F.when(healthy, "PASS").otherwise("FAIL").alias("status"), healthy.alias("is_healthy"), "health_score", "issues"
@@ -253,6 +260,8 @@ def gate(df: DataFrame, min_rows: int, max_null_fraction: float) -> DataFrame:
     low = F.col("actual_records") < min_rows
     nulls = F.col("max_null_percentage") > max_null_fraction
     score = 100 - F.when(low, 30).otherwise(0) - F.when(nulls, 40).otherwise(0)
+    high = F.format_string("High Nulls (%.1f%%)", F.col("max_null_percentage") * 100)
+    issues = F.array_compact(F.array(F.when(low, "Low volume"), F.when(nulls, high)))
     return facts.select(
         "actual_records",
         half_even("max_null_percentage", 4).alias("max_null_percentage"),
@@ -261,6 +270,7 @@ def gate(df: DataFrame, min_rows: int, max_null_fraction: float) -> DataFrame:
         score.alias("health_score"),
         F.when(score < 70, "FAIL").otherwise("PASS").alias("status"),
         (score >= 70).alias("is_healthy"),
+        issues.alias("issues"),
     )
 
 

@@ -40,20 +40,21 @@ def rank_with_totals(
     size = F.round(amount, 9)
     # larger amounts first; a few thousand blocks at most, amounts that round to 0 in the last
     block = F.coalesce(F.floor(F.log2(size) * -64), F.lit(1 << 20))
-    split = stage(df.withColumn("_size", size).withColumn("_block", block))
-    blocks = split.groupBy(*group, "_block").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
-    whole = Window.partitionBy(*group)
+    # The group is compared as one struct value, in which NULL members are equal.
+    split = stage(df.withColumns({"_group": F.struct(*group), "_size": size, "_block": block}))
+    blocks = split.groupBy("_group", "_block").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
+    whole = Window.partitionBy("_group")
     blocks = blocks.select(
-        *group,
+        "_group",
         "_block",
         (F.sum("_n").over(whole.orderBy("_block")) - F.col("_n")).alias("_before"),
         F.sum("_s").over(whole).alias(total),
     )
-    inside = Window.partitionBy(*group, "_block").orderBy(F.desc("_size"), *ties)
-    joined = split.join(blocks, [*group, "_block"])
+    inside = Window.partitionBy("_group", "_block").orderBy(F.desc("_size"), *ties)
+    joined = split.join(blocks, ["_group", "_block"])
     return joined.withColumn(
         rank, (F.row_number().over(inside) + F.col("_before")).cast("int")
-    ).drop("_size", "_block", "_before")
+    ).drop("_group", "_size", "_block", "_before")
 
 
 def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:

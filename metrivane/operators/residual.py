@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metrivane.config import DetectorConfig, Settings
+from metrivane.functions.scalars import all_present
 from metrivane.operators.joins import hinted
 from metrivane.operators.medians import exact_median
 from metrivane.session import stage
@@ -218,7 +219,8 @@ def _solver(groups: list[str], alpha: float):
 
 
 def score_ridge(df: DataFrame, model: DataFrame, f: Features, cfg: DetectorConfig) -> DataFrame:
-    """Add ``predicted_value``; groups with too few training rows predict their baseline."""
+    """Add ``predicted_value``; groups with too few training rows predict their baseline,
+    rows without a group predict nothing."""
     groups = list(cfg.group_columns)
     level = F.aggregate(F.zip_with("x_mean", "weights", lambda m, w: m * w), F.lit(0.0), lambda a, v: a - v)
     base = model.select(*groups, "n_train", "weights", (F.col("y_mean") + level).alias("_level"))
@@ -233,7 +235,7 @@ def score_ridge(df: DataFrame, model: DataFrame, f: Features, cfg: DetectorConfi
         fitted = fitted + F.coalesce(hit, F.lit(0.0))
         at += len(members)
     enough = F.coalesce(F.col("n_train") >= cfg.min_train_rows, F.lit(False))
-    predicted = F.when(enough, fitted).otherwise(F.col("moving_baseline"))
+    predicted = F.when(all_present(groups), F.when(enough, fitted).otherwise(F.col("moving_baseline")))
     return joined.select(*df.columns, predicted.alias("predicted_value"))
 
 

@@ -24,7 +24,7 @@ class Trailing:
     """``stat`` of ``value`` over rows ``first..last`` relative to the current row."""
 
     name: str
-    stat: str  # "avg" | "stddev_samp"
+    stat: str  # "avg" | "stddev_samp" | "max"
     value: str
     first: int
     last: int
@@ -88,6 +88,8 @@ def _evaluate_blocked(df, keys, measures, order, block_days) -> DataFrame:
     return done.where(~F.col("_halo")).drop("_halo", "_block")
 
 
-def previous_value(df: DataFrame, keys: list[str], value: str, name: str, order: str = "date") -> DataFrame:
-    """The value of the preceding row of the series."""
-    return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(order)))
+def previous_value(
+    df: DataFrame, keys: list[str], value: str, name: str, order: str = "date", block_days: int | None = None
+) -> DataFrame:
+    """The value of the preceding row of the series: a trailing window of that one row."""
+    return add_trailing(df, keys, [Trailing(name, "max", value, -1, -1)], order, block_days)

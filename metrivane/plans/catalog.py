@@ -284,7 +284,7 @@ def monitoring_table_events(spark, folder):
 @query
 def monitoring_table_blocked(spark, folder):
     """The same table from calendar blocks of five days instead of whole series."""
-    return shown(monitoring.monitor(panels.events_panel(spark, folder), EVENTS, block_days=5))
+    return shown(monitoring.monitor(panels.events_panel(spark, folder), replace(EVENTS, block_days=5)))
 
 
 @query
@@ -439,8 +439,7 @@ def residual_ridge_per_series(spark, folder):
     """One model per series, with the baseline for series that have too little history."""
     settings = replace(ORDERS, detector=DetectorConfig(group_columns=ORDERS.dimensions, min_train_rows=50))
     rows = residual.predict_ridge(stage(monitored_orders(spark, folder)), settings, ("moving_baseline",), ())
-    rows = rows.where(F.col("kpi_name") == "finished_rate")
-    return shown(rows.select("date", *ORDERS.dimensions, "predicted_value"))
+    return shown(rows.select("date", *ORDERS.dimensions, "predicted_value"), 3)
 
 
 @query
@@ -677,26 +676,27 @@ def incident_slice(spark, folder):
 
 @query
 def quality_checks(spark, folder):
-    checks = quality.run_checks(labelled_events(spark, folder), CONTRACT, AS_OF)
+    checks = quality.run_checks(stage(labelled_events(spark, folder)), CONTRACT, AS_OF)
     return shown(checks.select("check", "passed", "score", "weight", "issue_count", "summary"))
 
 
 @query
 def quality_failures(spark, folder):
     """Failing cells per check and column."""
-    checks = quality.run_checks(labelled_events(spark, folder), CONTRACT, AS_OF)
+    checks = quality.run_checks(stage(labelled_events(spark, folder)), CONTRACT, AS_OF)
     return checks.select("check", F.explode("failures").alias("column", "failing"))
 
 
 @query
 def quality_report(spark, folder):
-    report = quality.report(quality.run_checks(labelled_events(spark, folder), CONTRACT, AS_OF))
+    report = quality.report(quality.run_checks(stage(labelled_events(spark, folder)), CONTRACT, AS_OF))
     return report.withColumn("issues", F.array_join("issues", "; "))
 
 
 @query
 def quality_gate(spark, folder):
-    return shown(quality.gate(panels.events_panel(spark, folder, with_counters=True), 10, 0.01), 4)
+    gated = quality.gate(panels.events_panel(spark, folder, with_counters=True), 10, 0.01)
+    return shown(gated.withColumn("issues", F.array_join("issues", "; ")), 4)
 
 
 @query

@@ -42,14 +42,14 @@ def evaluation_run(
     anomalies = put("anomalies", anomaly.detect(monitored, validated, settings))
     scored = put("evaluation", evaluation.evaluate(anomalies))
     best = put("best_detector", evaluation.best_detector(scored))
-    _diagnose(put, anomalies, settings, _context(best, report, summary, settings), stamp)
+    _diagnose(put, anomalies, settings, incident_context(best, report, summary, settings), stamp)
     sinks.write_document(t["incident_document"], f"{out}/latest_incident")
     sinks.write_document(t["incident_history"], f"{out}/incident_history_csv", "csv")
     sinks.write_document(t["top_root_causes"], f"{out}/top_root_causes_csv", "csv")
     return t
 
 
-def _context(best: DataFrame, report: DataFrame, summary: DataFrame, settings: Settings) -> DataFrame:
+def incident_context(best: DataFrame, report: DataFrame, summary: DataFrame, settings: Settings) -> DataFrame:
     """The incident context from the one-row results of the earlier stages."""
     one = best.select(
         F.col("detector").alias("best_detector"),

@@ -200,7 +200,8 @@ sql("monitoring_summary", """SELECT COUNT(*) AS total_monitoring_rows,
   COUNT(*) FILTER (monitoring_status='CRITICAL') AS critical_count,
   COUNT(*) FILTER (threshold_breached) AS threshold_breach_count FROM om""", "om")
 sql("breaches_by_kpi", "SELECT kpi_name, COUNT(*) AS breaches FROM om WHERE threshold_breached GROUP BY 1", "om")
-sql("worst_variances", f"""SELECT {OD}, {rs('actual_value expected_value', 3)}, {r('percent_variance')}, monitoring_status
+sql("worst_variances", f"""SELECT {OD}, {r('round_even(actual_value, 6)', 3, 'actual_value')},
+  {r('round_even(expected_value, 6)', 3, 'expected_value')}, {r('round_even(percent_variance, 6)', name='percent_variance')}, monitoring_status
   FROM om WHERE percent_variance IS NOT NULL ORDER BY ABS(percent_variance) DESC, {OD} LIMIT 10""", "om")
 
 
@@ -304,7 +305,7 @@ SELECT *, residual_severity <> 'NORMAL' AS residual_anomaly FROM (SELECT *,
     (actual_value - predicted_value) / NULLIF(predicted_value, 0) AS residual_percent FROM erp)))""", "erp")
 _RES = "residual_anomaly, residual_severity"
 sql("residual_ridge_univariate", f"SELECT {ED}, {rs('predicted_value residual residual_percent')}, {_RES} FROM ere", "ere")
-sql("residual_ridge_per_series", f"SELECT {OD}, {r('predicted_value')} FROM orp WHERE kpi_name='finished_rate'", "orp")
+sql("residual_ridge_per_series", f"SELECT {OD}, {r('predicted_value', 3)} FROM orp", "orp")
 cte("emad", """
 SELECT kpi_name, med, MEDIAN(ABS(residual - med)) AS mad FROM ere JOIN
   (SELECT kpi_name, MEDIAN(residual) AS med FROM ere GROUP BY 1) USING (kpi_name) GROUP BY 1, 2""", "ere")
@@ -473,7 +474,7 @@ UNION ALL SELECT 'numeric_ranges', imp_low + lat_range + val_range = 0, 1 - (imp
 cte("qr", """
 SELECT CASE WHEN health_score >= 90 AND bad = 0 THEN 'PASS' ELSE 'FAIL' END AS status, health_score >= 90 AND bad = 0 AS is_healthy,
   health_score, issues FROM (SELECT CAST(GREATEST(0, LEAST(100, round_even(100 - SUM(weight * (1 - score)), 0))) AS INT) AS health_score,
-  COUNT(*) FILTER (NOT passed) AS bad, COALESCE(string_agg(no, '; ' ORDER BY no) FILTER (NOT passed), '') AS issues FROM qc)""", "qc")
+  COUNT(*) FILTER (NOT passed) AS bad, COALESCE(string_agg(no, '; ' ORDER BY ord) FILTER (NOT passed), '') AS issues FROM (SELECT *, list_position(['schema','data_types','accepted_values','nulls','duplicates','freshness','completeness','volume','numeric_ranges'], "check") AS ord FROM qc))""", "qc")
 sql("quality_checks", f"""SELECT "check", passed, {r('score')}, weight, issue_count, CASE WHEN passed THEN yes ELSE no END AS summary FROM qc""", "qc")
 sql("quality_failures", """SELECT * FROM (
   SELECT 'data_types' AS "check", 'latency_ms' AS "column", lat_null AS failing FROM q UNION ALL SELECT 'data_types', 'kpi_value', val_null FROM q
@@ -485,7 +486,8 @@ sql("quality_report", "SELECT * FROM qr", "qr")
 sql("quality_gate", f"""SELECT n AS actual_records, {r('nulls', 4, 'max_null_percentage')}, n >= 10 AS volume_passed,
   nulls <= 0.01::DOUBLE AS nulls_passed, 100 - CASE WHEN n < 10 THEN 30 ELSE 0 END - CASE WHEN nulls > 0.01::DOUBLE THEN 40 ELSE 0 END AS health_score,
   CASE WHEN 100 - CASE WHEN n < 10 THEN 30 ELSE 0 END - CASE WHEN nulls > 0.01::DOUBLE THEN 40 ELSE 0 END < 70 THEN 'FAIL' ELSE 'PASS' END AS status,
-  100 - CASE WHEN n < 10 THEN 30 ELSE 0 END - CASE WHEN nulls > 0.01::DOUBLE THEN 40 ELSE 0 END >= 70 AS is_healthy
+  100 - CASE WHEN n < 10 THEN 30 ELSE 0 END - CASE WHEN nulls > 0.01::DOUBLE THEN 40 ELSE 0 END >= 70 AS is_healthy,
+  concat_ws('; ', CASE WHEN n < 10 THEN 'Low volume' END, CASE WHEN nulls > 0.01::DOUBLE THEN printf('High Nulls (%.1f%%)', nulls * 100) END) AS issues
 FROM (SELECT COUNT(*) AS n, GREATEST(AVG(CAST(latency_ms IS NULL AS INT)), AVG(CAST(kpi_value IS NULL AS INT))) AS nulls FROM e)""", "e")
 sql("offending_values", """SELECT "column", value, rows, CAST(position AS INT) AS position FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "column" ORDER BY value) AS position
 FROM (SELECT 'lang' AS "column", lang AS value, COUNT(*) AS rows FROM documents WHERE lang NOT IN ('en','fr') GROUP BY 1,2
@@ -520,7 +522,7 @@ cte("icause", """SELECT *, round_even(contribution_share, 6) AS share6 FROM (SEL
   ORDER BY round(contribution_share, 10) DESC, round(degradation_amount, 8) DESC, dimension_type, dimension_value) AS rn
   FROM erca WHERE dimension_type = 'full_segment') WHERE rn <= 3""", "erca")
 sql("incident_causes", f"""SELECT analysis_date, kpi_name, CAST(rn - 1 AS INT) AS "at", dimension_type, dimension_value,
-  {r('contribution_share')}, {r('degradation_amount')}, severity_max AS severity, recommended_action FROM icause""", "icause")
+  {r('share6', name='contribution_share')}, {r('round_even(degradation_amount, 6)', name='degradation_amount')}, severity_max AS severity, recommended_action FROM icause""", "icause")
 cte("evt", confusion("(SELECT em.threshold_breached, lab.is_incident FROM em JOIN lab USING (date, kpi_name, tier, band))", ["threshold_breached"]), "em", "lab")
 cte("inc0", """SELECT date, kpi_name, string_agg(dimension_value, ' / ' ORDER BY rn) AS dims, string_agg(recommended_action, '~' ORDER BY rn) AS acts,
   MAX(share6) AS share, MAX(share6) FILTER (rn = 1) AS first_share, MAX(dimension_value) FILTER (rn = 1) AS cause
@@ -549,9 +551,9 @@ cte("inc", f"""SELECT *, 'INC-' || strftime(date, '%Y%m%d') || '-' || upper(repl
   CASE WHEN kpi_name='latency_ms' THEN 'excess latency' ELSE 'measured degradation' END || '. Recommended next step: ' || actions[1] AS summary
 FROM inc2""", "inc2")
 sql("incident_records", f"""SELECT incident_id, date AS incident_date, kpi_name AS kpi_affected, severity, {r('conf', name='confidence_score')},
-  label AS confidence_label, 'threshold_breached' AS detector_used, {r('a', name='actual_value_summary')}, {r('x', name='expected_value_summary')},
-  {r('v', name='percent_variance_summary')}, n AS anomaly_count, dims AS suspected_dimensions, array_to_string(actions, ' ') AS recommended_actions,
-  summary AS executive_summary, {r('worst', name='max_abs_percent_variance')}, {_name('sev')} AS max_detector_severity, cause AS top_root_cause,
+  label AS confidence_label, 'threshold_breached' AS detector_used, {r('round_even(a, 6)', name='actual_value_summary')}, {r('round_even(x, 6)', name='expected_value_summary')},
+  {r('round_even(v, 6)', name='percent_variance_summary')}, n AS anomaly_count, dims AS suspected_dimensions, array_to_string(actions, ' ') AS recommended_actions,
+  summary AS executive_summary, {r('round_even(worst, 6)', name='max_abs_percent_variance')}, {_name('sev')} AS max_detector_severity, cause AS top_root_cause,
   ncrit AS monitoring_critical_count, qstatus AS quality_status, hs AS health_score, {r('f1', name='best_detector_f1_score')} FROM inc""", "inc")
 cte("isel", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY first DESC, g) AS position FROM (SELECT *, k = 1 AS first FROM (SELECT *,
   ROW_NUMBER() OVER (ORDER BY {_rank('severity')} DESC, conf DESC, n DESC, date, kpi_name) AS g,

@@ -102,8 +102,9 @@ def test_offending_values_are_sorted_and_cut(spark):
 
 def test_gate(spark):
     df = spark.createDataFrame([(1.0,)] * 9 + [(None,)], "x double")
-    assert tuple(quality.gate(df, 5, 0.2).first())[4:] == (100, "PASS", True)
-    assert tuple(quality.gate(df, 20, 0.01).first()) == (10, 0.1, False, False, 30, "FAIL", False)
+    assert tuple(quality.gate(df, 5, 0.2).first())[4:] == (100, "PASS", True, [])
+    assert tuple(quality.gate(df, 20, 0.01).first()) == (
+        10, 0.1, False, False, 30, "FAIL", False, ["Low volume", "High Nulls (10.0%)"])
 
 
 def test_coverage(spark):
