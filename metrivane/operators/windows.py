@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from metrivane.functions.scalars import all_present
 from metrivane.operators.ranking import top_n
+from metrivane.session import stage
 
 
 @dataclass(frozen=True)
@@ -62,7 +63,8 @@ def _measure(m: Trailing, series, valid: Column) -> Column:
 
 def _evaluate_blocked(df, keys, measures, order, block_days) -> DataFrame:
     halo = max(-m.first for m in measures)
-    blocked = df.withColumn("_block", F.floor(F.unix_date(order) / F.lit(block_days)))
+    # read three times below (rows, block sizes, last rows of blocks), hence staged
+    blocked = stage(df.withColumn("_block", F.floor(F.unix_date(order) / F.lit(block_days))))
     cell = [*keys, "_block"]
 
     # One row per block: how many rows of the series come before it and up to its end.

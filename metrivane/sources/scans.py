@@ -54,7 +54,7 @@ def typed(text: DataFrame, contract: Contract) -> DataFrame:
     def column(c):
         kind = contract.types.get(c, "string")
         if kind == "integer":
-            return number(c).try_cast("bigint").alias(c)
+            return F.when(number(c) % 1 == 0, number(c).try_cast("bigint")).alias(c)
         return parse[kind](c).alias(c) if kind in parse else F.col(c)
 
     first = [c for c in contract.column_order if c in text.columns]
