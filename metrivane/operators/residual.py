@@ -207,9 +207,13 @@ def _solver(groups: list[str], alpha: float):
         std[std <= 1e-12 * np.maximum(np.abs(mean[:p]), 1.0)] = 1.0
         gram = m2[:p, :p] / np.outer(std, std) + alpha * np.eye(p)
         target = m2[:p, p] / std
-        try:
-            beta = np.linalg.solve(gram, target)
-        except np.linalg.LinAlgError:
+        beta = None
+        if alpha > 0:  # without a penalty, collinear one-hot columns make the system singular
+            try:
+                beta = np.linalg.solve(gram, target)
+            except np.linalg.LinAlgError:
+                pass
+        if beta is None:
             beta = np.linalg.lstsq(gram, target, rcond=None)[0]
         head = [total[g] for g in groups]
         row = [*head, n, float(mean[p]), mean[:p].tolist(), (beta / std).tolist()]

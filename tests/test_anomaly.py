@@ -126,6 +126,20 @@ def test_ridge_equals_the_closed_form_and_ignores_partitioning(spark):
         assert np.allclose(pdf["predicted_value"], expected, atol=1e-8), kpi
 
 
+def test_singular_system_gives_the_least_squares_fit(spark):
+    cfg = Settings(detector=DetectorConfig(ridge_alpha=0.0))
+    mon = monitoring.monitor(noisy_panel(spark, ("latency_ms",)))
+    f = residual.describe_features(mon, cfg)
+    out = residual.score_ridge(mon, residual.fit_ridge(mon, f, cfg.detector), f, cfg.detector).toPandas()
+    x = [out["moving_baseline"].fillna(f.fill).to_numpy(float), np.array([(d - f.start).days for d in out["date"]], float),
+         np.array([d.weekday() for d in out["date"]], float), np.array([d.month for d in out["date"]], float)]
+    x += [(out[d] == m).to_numpy(float) for d, ms in f.vocabulary.items() for m in ms]
+    z = np.column_stack([np.ones(len(out)), *x])
+    train = np.array([d < f.split for d in out["date"]])
+    beta = np.linalg.lstsq(z[train], out["actual_value"].to_numpy(float)[train], rcond=None)[0]
+    assert np.allclose(out["predicted_value"][train], (z @ beta)[train], atol=1e-6)
+
+
 def test_labels_are_never_features(spark):
     mon = monitoring.monitor(noisy_panel(spark))
     f = residual.describe_features(mon, Settings())
