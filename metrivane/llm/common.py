@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,3 +39,31 @@ def ascii_lower(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per Spark context: Python tasks import from it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_metrivane_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="metrivane-code-")) / "metrivane_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(archive))  # served to the executors by the driver
+    sc._metrivane_shipped = True
+
+
+def text_slices(texts: pa.Array, limit: int = 2 << 20):
+    """(first row, list of bytes) for consecutive slices of about ``limit`` bytes; a null is empty."""
+    first, rows, size = 0, [], 0
+    for i, value in enumerate(texts.cast(pa.large_binary())):
+        data = value.as_buffer() if value.is_valid else None
+        rows.append(data.to_pybytes() if data is not None else b"")
+        size += len(rows[-1])
+        if size >= limit:
+            yield first, rows
+            first, rows, size = i + 1, [], 0
+    if rows:
+        yield first, rows
