@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from metrivane.llm import exact_dedup, pii, url_filter
+from metrivane.llm import bpe_chunks, exact_dedup, packing, pii, url_filter, warc
 
 QUERIES = {
     "op3_url_filter": url_filter.op3_url_filter,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op6_bpe_chunks": bpe_chunks.op6_bpe_chunks,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
 }
 
 ORACLE = {
     "op8_exact_dedup": exact_dedup.SQL,
+    "op9_warc": warc.SQL,
 }
