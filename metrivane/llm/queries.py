@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from metrivane.llm import bpe_chunks, exact_dedup, packing, pii, url_filter, warc
+from metrivane.llm import bpe_chunks, exact_dedup, jaccard_join, packing, pii, url_filter, warc
 
 QUERIES = {
+    "op1_ngram_jaccard": jaccard_join.op1_ngram_jaccard,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_bpe_chunks": bpe_chunks.op6_bpe_chunks,
