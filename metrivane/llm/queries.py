@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from metrivane.llm import bpe_chunks, exact_dedup, jaccard_join, packing, pii, url_filter, warc
+from metrivane.llm import bpe_chunks, exact_dedup, jaccard_join, packing, pii, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard_join.op1_ngram_jaccard,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe_chunks": bpe_chunks.op6_bpe_chunks,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_warc": warc.op9_warc,

@@ -54,15 +54,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each span."""
-    up, down = powers(len(data) + 1)
+def hash_sums(data: np.ndarray) -> np.ndarray:
+    """Running sums from which ``sum_hashes`` takes the hash of any span of ``data``."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * up[: len(data)], out=sums[1:])
-    spans = (sums[ends] - sums[starts]) * down[starts]
+    np.cumsum(_TABLE[data] * powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def sum_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    spans = (sums[ends] - sums[starts]) * powers(len(sums))[1][starts]
     return mixed(spans ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each span."""
+    return sum_hashes(hash_sums(data), starts, ends)
+
+
 def safe_cuts(data: np.ndarray) -> np.ndarray:
     """Places of white space right behind a visible character: a tokenizer always starts anew there."""
     cut = _SPACE[data]
