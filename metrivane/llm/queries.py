@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from metrivane.llm import bpe_chunks, exact_dedup, jaccard_join, packing, pii, toxicity, url_filter, warc
+from metrivane.llm import ann, bpe_chunks, exact_dedup, jaccard_join, packing, pii, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard_join.op1_ngram_jaccard,
+    "op2_neighbours": ann.op2_neighbours,
     "op3_url_filter": url_filter.op3_url_filter,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_toxicity": toxicity.op5_toxicity,
