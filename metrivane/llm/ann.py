@@ -37,7 +37,7 @@ def beam_search(graph: np.ndarray, data: np.ndarray, queries: np.ndarray, entry:
     All queries go one step at a time: each expands the nearest node of its beam that it has not expanded."""
     q, n = len(queries), len(data)
     norms = (data * data).sum(1)
-    seen = np.zeros((q, n), bool)
+    seen = np.zeros((q, n + 1), bool)  # the last column takes what is no new node
     nodes = np.full((q, width), -1, np.int64)
     dist = np.full((q, width), np.inf, np.float32)
     done = np.ones((q, width), bool)
@@ -57,8 +57,8 @@ def beam_search(graph: np.ndarray, data: np.ndarray, queries: np.ndarray, entry:
         done[active, best] = True
         near = graph[nodes[active, best]]
         known = (near < 0) | seen[active[:, None], np.maximum(near, 0)]
+        seen[active[:, None], np.where(known, n, near)] = True
         near = np.where(known, 0, near)
-        seen[active[:, None], near] |= ~known
         d = norms[near] - 2 * np.einsum("qrd,qd->qr", data[near], queries[active], optimize=True)
         d[known] = np.inf
         all_d = np.concatenate([dist[active], d], 1)
