@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from metrivane.llm import ann, bpe_chunks, exact_dedup, jaccard_join, packing, pii, toxicity, url_filter, warc
+from metrivane.llm import ann, bpe_chunks, exact_dedup, jaccard_join, packing, pii, token_files, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard_join.op1_ngram_jaccard,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_bpe_chunks": bpe_chunks.op6_bpe_chunks,
+    "op7_token_files": token_files.op7_token_files,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
