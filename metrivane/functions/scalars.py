@@ -90,8 +90,13 @@ def half_even(c: Column | str, digits: int = 0) -> Column:
     return F.bround(_c(c), digits)
 
 
+def fixed(c: Column | str, digits: int) -> Column:
+    """Text with so many decimals; a tie goes to the even digit (of the shortest decimal spelling)."""
+    return F.format_string(f"%.{digits}f", half_even(_c(c), digits))
+
+
 def percent_text(share: Column | str) -> Column:
-    return F.format_string("%.1f", _c(share) * 100)
+    return fixed(_c(share) * 100, 1)
 
 
 def joined(columns, sep: str) -> Column:

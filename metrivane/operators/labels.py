@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metrivane.operators.joins import with_one_row
-
-MAX_RULES = 10_000
-
 
 def label_windows(df: DataFrame, rules: DataFrame, dims: list[str]) -> DataFrame:
     """Add the four label columns from a table of rules.
@@ -18,14 +14,13 @@ def label_windows(df: DataFrame, rules: DataFrame, dims: list[str]) -> DataFrame
     any member.  Several matching rules join their ids and types with ``|`` and
     their descriptions with a space, in order of incident id.
 
-    The rule table is declarative input whose size is checked; as a single
-    broadcast row it labels every row in place, without a shuffle of the data.
+    Rules are expanded to the days they cover and gathered by day, so a row meets only the rules of its
+    date, by an equi-join; any number of rules will do.
     """
-    count = rules.limit(MAX_RULES + 1).count()
-    if count > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} label rules")
     columns = ["incident_id", "incident_type", "incident_description", "start_date", "end_date", *dims]
-    packed = rules.agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("_rules"))
+    valid = rules.where(F.col("start_date") <= F.col("end_date"))
+    daily = valid.select(F.explode(F.sequence(F.to_date("start_date"), F.to_date("end_date"))).alias("_day"), F.struct(*columns).alias("_rule"))
+    daily = daily.groupBy("_day").agg(F.array_sort(F.collect_list("_rule")).alias("_rules"))
 
     def applies(rule):
         hit = (F.col("date") >= rule["start_date"]) & (F.col("date") <= rule["end_date"])
@@ -33,7 +28,8 @@ def label_windows(df: DataFrame, rules: DataFrame, dims: list[str]) -> DataFrame
             hit = hit & (rule[d].isNull() | (rule[d] == F.col(d)))
         return F.coalesce(hit, F.lit(False))
 
-    hits = with_one_row(df, packed).withColumn("_hits", F.filter("_rules", applies))
+    joined = df.join(daily, F.to_date("date") == F.col("_day"), "left")
+    hits = joined.withColumn("_hits", F.coalesce(F.filter("_rules", applies), F.array()))
 
     def listed(name, sep):
         return F.array_join(F.transform("_hits", lambda r: r[name]), sep)
@@ -45,4 +41,4 @@ def label_windows(df: DataFrame, rules: DataFrame, dims: list[str]) -> DataFrame
             "incident_type": listed("incident_type", "|"),
             "incident_description": listed("incident_description", " "),
         }
-    ).drop("_rules", "_hits")
+    ).drop("_day", "_rules", "_hits")

@@ -12,7 +12,7 @@ _ACCURACY = 10_000
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
-    """One row per group: the exact median of the non-NULL values.
+    """One row per group: the exact median of the non-NULL values; without keys NULL where there is none.
 
     Pass 1 brackets the middle with approximate percentiles, whose rank error is
     at most n / accuracy and whose state is small and mergeable.  Pass 2 counts
@@ -42,8 +42,8 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
 
     low = F.floor((F.col("_n") + 1) / 2)
     high = F.floor(F.col("_n") / 2) + 1
-    result = band.groupBy(*keys).agg(at(low).alias("_lo"), at(high).alias("_hi"))
-    bad = F.col("_lo").isNull() | F.col("_hi").isNull()
+    result = band.groupBy(*keys).agg(at(low).alias("_lo"), at(high).alias("_hi"), F.max("_n").alias("_n"))
+    bad = (F.col("_n") > 0) & (F.col("_lo").isNull() | F.col("_hi").isNull())
     middle = F.when(bad, F.raise_error(F.lit("median fell outside its bracket")).cast("double")).otherwise(
         (F.col("_lo") + F.col("_hi")) / 2
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metrivane.config import CHECK_WEIGHTS, Contract
-from metrivane.functions.scalars import day, half_even, is_flag, lookup, number
+from metrivane.functions.scalars import day, half_even, is_flag, lookup, number, percent_text
 from metrivane.operators.joins import with_one_row
 from metrivane.operators.ranking import top_n
 
@@ -260,7 +260,7 @@ def gate(df: DataFrame, min_rows: int, max_null_fraction: float) -> DataFrame:
     low = F.col("actual_records") < min_rows
     nulls = F.col("max_null_percentage") > max_null_fraction
     score = 100 - F.when(low, 30).otherwise(0) - F.when(nulls, 40).otherwise(0)
-    high = F.format_string("High Nulls (%.1f%%)", F.col("max_null_percentage") * 100)
+    high = F.concat(F.lit("High Nulls ("), percent_text("max_null_percentage"), F.lit("%)"))
     issues = F.array_compact(F.array(F.when(low, "Low volume"), F.when(nulls, high)))
     return facts.select(
         "actual_records",

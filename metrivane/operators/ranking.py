@@ -22,6 +22,11 @@ def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, rank: st
     return ranked if rank else ranked.drop(name)
 
 
+def significant(amount: Column, digits: int = 12) -> Column:
+    """``amount`` rounded to so many significant digits."""
+    return F.format_string(f"%.{digits - 1}e", amount.cast("double")).cast("double")
+
+
 def rank_with_totals(
     df: DataFrame, group: list[str], amount: str, ties: list[str | Column], rank: str, total: str
 ) -> DataFrame:
@@ -34,11 +39,11 @@ def rank_with_totals(
     ``df`` is staged, because it is read for the blocks and again for the rows: what it
     was computed from is then computed once.
 
-    Amounts are compared rounded: as sums they differ in their last bits with the
-    order partial sums arrive in, and equal members must rank alike on every run.
+    Amounts are compared by 12 significant digits, whatever their scale: as sums they differ in
+    their last bits with the order partial sums arrive in, and equal members must rank alike on every run.
     """
-    size = F.round(amount, 9)
-    # larger amounts first; a few thousand blocks at most, amounts that round to 0 in the last
+    size = significant(F.col(amount))
+    # larger amounts first; zero in the last block
     block = F.coalesce(F.floor(F.log2(size) * -64), F.lit(1 << 20))
     # The group is compared as one struct value, in which NULL members are equal.
     split = stage(df.withColumns({"_group": F.struct(*group), "_size": size, "_block": block}))

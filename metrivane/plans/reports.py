@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metrivane.functions.scalars import all_present, ratio
+from metrivane.functions.scalars import all_present, fixed, ratio
 from metrivane.operators.joins import with_one_row
 
 Tables = Mapping[str, DataFrame]
@@ -275,9 +275,9 @@ def metric_digest(worst: DataFrame, metric: str) -> DataFrame:
     hint = investigation(metric, F.col("w.device_type"), F.col("w.region"), F.col("w.browser"))
     return lead.select(
         F.lit(metric).alias("kpi"),
-        F.when(found, F.format_string("%.4f", "w.actual_value")).otherwise("N/A").alias("current_value"),
-        F.when(found, F.format_string("%.4f", "w.rolling_mean")).otherwise("N/A").alias("rolling_baseline"),
-        F.when(found, F.format_string("%.2f", "w.z_score")).otherwise("0.00").alias("z_score"),
+        F.when(found, fixed("w.actual_value", 4)).otherwise("N/A").alias("current_value"),
+        F.when(found, fixed("w.rolling_mean", 4)).otherwise("N/A").alias("rolling_baseline"),
+        F.when(found, fixed("w.z_score", 2)).otherwise("0.00").alias("z_score"),
         z_band(F.coalesce("w.z_score", F.lit(0.0))).alias("severity"),
         F.when(found, F.concat_ws(" / ", "w.device_type", "w.region", "w.browser"))
         .otherwise("No anomaly detected").alias("primary_offender"),

@@ -32,11 +32,15 @@ def contract_schema(contract: Contract) -> T.StructType:
     return T.StructType([T.StructField(c, T._parse_datatype_string(_SPARK_TYPES[contract.types.get(c, "string")])) for c in names])
 
 
-def scan_text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with every column as text, for checking; an empty cell stays an empty string."""
+def scan_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """A CSV file with every column as text, for checking; an empty cell stays an empty string.
+
+    Quotes within a quoted cell are doubled.  ``line_breaks``: quoted cells may hold line breaks; a file is
+    then read by one task.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Raw KPI data not found at {path}")
-    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks).csv(path)
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns])
 
 

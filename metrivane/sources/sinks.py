@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def write_landing(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Raw rows; parquet is laid out by date, CSV carries ISO dates."""
     if fmt == "csv":
-        df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+        df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").option("escape", '"').csv(path)
     else:
         by_date(df).write.mode("overwrite").partitionBy("date").parquet(path)
 
@@ -36,7 +36,7 @@ def write_document(df: DataFrame, path: str, fmt: str = "json") -> None:
     """A report of a few rows as one file.  Nested columns need JSON."""
     writer = df.coalesce(1).write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     else:
         writer.json(path)
 
