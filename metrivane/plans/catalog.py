@@ -249,15 +249,10 @@ def panel_slice(spark, folder):
 
 @query
 def concatenated_panels(spark, folder):
-    """Two series sources as one panel, then one row per KPI."""
+    """Two series sources as one panel."""
     events = panels.events_panel(spark, folder).select("date", "kpi_name", "kpi_value")
     orders = panels.orders_panel(spark, folder).select("date", "kpi_name", "kpi_value")
-    return (
-        scans.concatenate([events, orders])
-        .groupBy("kpi_name")
-        .agg(F.count("*").alias("rows"), F.count("kpi_value").alias("present"), F.min("date").alias("date_min"),
-             F.max("date").alias("date_max"))
-    )
+    return shown(scans.concatenate([events, orders]), 4)
 
 
 # ------------------------------------------------------------------ monitoring
@@ -347,11 +342,9 @@ def zscore_blocked(spark, folder):
 
 @query
 def zscore_lineitem(spark, folder):
-    """Z-scores of every line series, counted by KPI, month and severity."""
+    """Z-scores of every line series."""
     rows = anomaly.add_zscore(monitored_lines(spark, folder), LINES.dimensions)
-    return rows.groupBy("date", "kpi_name", "zscore_severity").agg(
-        F.count("*").alias("rows"), F.count("z_score").alias("scored")
-    )
+    return shown(rows.select("date", *LINES.dimensions, "z_score", "zscore_severity", "zscore_anomaly"))
 
 
 def wide_events(spark, folder) -> DataFrame:
@@ -481,7 +474,7 @@ def anomaly_results_unlabelled(spark, folder):
     """A source without labels: the label columns are false and ''."""
     rows = anomaly.add_zscore(monitored_orders(spark, folder), ORDERS.dimensions)
     rows = anomaly.join_labels(rows, panels.orders_panel(spark, folder), ORDERS.dimensions)
-    return rows.groupBy("kpi_name", "zscore_severity", *anomaly.LABEL_COLUMNS).agg(F.count("*").alias("rows"))
+    return shown(rows.select("date", *ORDERS.dimensions, "z_score", "zscore_severity", *anomaly.LABEL_COLUMNS))
 
 
 # ------------------------------------------------------------------ evaluation
@@ -959,11 +952,11 @@ def fact_incidents(spark, folder):
 
 @query
 def fact_left_keys(spark, folder):
-    """The left variant of the key lookup: orphans keep their row with a NULL key."""
-    panel = panels.orders_panel(spark, folder)
-    star = warehouse.build_dimensions(panel.where(F.col("region") != "ASIA"), list(ORDERS.dimensions))
+    """The left variant of the key lookup: every row of the panel with its keys."""
+    panel = stage(panels.orders_panel(spark, folder))
+    star = warehouse.build_dimensions(panel, list(ORDERS.dimensions))
     keyed_rows = star.attach(panel, ["kpi_name", "region"], "left")
-    return keyed_rows.groupBy("kpi_key", "region_key").agg(F.count("*").alias("rows"))
+    return shown(keyed_rows.select("date", "kpi_key", "region_key", "segment", "priority", "kpi_value"), 4)
 
 
 @query
@@ -978,11 +971,10 @@ def incident_enriched(spark, folder):
 
 @query
 def incident_details_joined(spark, folder):
-    """Incidents with stored details; those without get 1 and ''."""
+    """Incidents with stored details."""
     chosen = stage(selected_incidents(spark, folder))
     history = warehouse.stage_incidents(incidents.history(chosen))
-    details = chosen.where(F.col("position") <= 6).select("incident_id", "anomaly_count", "executive_summary")
-    rows = warehouse.with_incident_details(history, details)
+    rows = warehouse.with_incident_details(history, chosen.select("incident_id", "anomaly_count", "executive_summary"))
     return rows.select("incident_id", "anomaly_count", "executive_summary")
 
 
@@ -1150,4 +1142,4 @@ def segment_labels(spark, folder):
     """Members joined to one label, with a missing member spelled out."""
     rows = panels.orders_panel(spark, folder)
     label = joined([F.col("region"), F.nullif("segment", F.lit("BUILDING")), F.col("priority")], " / ")
-    return rows.groupBy(label.alias("segment_label")).agg(F.count("*").alias("rows"))
+    return shown(rows.select("date", "kpi_name", label.alias("segment_label"), "kpi_value"), 4)

@@ -125,9 +125,8 @@ sql("report_window_rows", f"""SELECT {OD}, {r('kpi_value', 4)} FROM o
   WHERE date >= (SELECT MAX(date) FROM o) - 364""", "o")
 sql("panel_slice", f"""SELECT {OD}, {r('kpi_value', 4)} FROM o WHERE kpi_name='average_order_value'
   AND date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31' AND region IN ('ASIA','EUROPE') AND priority='1-URGENT'""", "o")
-sql("concatenated_panels", """SELECT kpi_name, COUNT(*) AS rows, COUNT(kpi_value) AS present, MIN(date) AS date_min,
-  MAX(date) AS date_max FROM (SELECT date, kpi_name, kpi_value FROM e UNION ALL SELECT date, kpi_name, kpi_value FROM o)
-  GROUP BY 1""", "e", "o")
+sql("concatenated_panels", f"""SELECT date, kpi_name, {r('kpi_value', 4)} FROM
+  (SELECT date, kpi_name, kpi_value FROM e UNION ALL SELECT date, kpi_name, kpi_value FROM o)""", "e", "o")
 
 # ------------------------------------------------------------------ monitoring
 
@@ -225,8 +224,7 @@ sql("kpi_health_lineitem", health("lm", 5), "lm")
 
 for _n in ("zscore_events", "zscore_blocked"):
     sql(_n, f"SELECT {ED}, {r('z_score')}, zscore_severity, zscore_anomaly FROM ez", "ez")
-sql("zscore_lineitem", """SELECT date, kpi_name, zscore_severity, COUNT(*) AS rows, COUNT(z_score) AS scored FROM lz
-  GROUP BY 1,2,3""", "lz")
+sql("zscore_lineitem", f"SELECT {LD}, {r('z_score')}, zscore_severity, zscore_anomaly FROM lz", "lz")
 cte("wide", "SELECT *, COALESCE(CAST(conversions AS DOUBLE)/NULLIF(clicks,0),0.0) AS conversion_rate FROM ec", "ec")
 
 
@@ -327,8 +325,8 @@ _ANOM = (f"{rs('actual_value expected_value moving_baseline percent_variance')},
          f"residual_anomaly, residual_severity, combined_anomaly, combined_severity, {_LABELS}")
 for _n in ("anomaly_results", "staged_anomalies"):
     sql(_n, f"SELECT {ED}, {_ANOM} FROM ea", "ea")
-sql("anomaly_results_unlabelled", """SELECT kpi_name, zscore_severity, FALSE AS is_incident, '' AS incident_id,
-  '' AS incident_type, '' AS incident_description, COUNT(*) AS rows FROM oz GROUP BY 1,2""", "oz")
+sql("anomaly_results_unlabelled", f"""SELECT {OD}, {r('z_score')}, zscore_severity, FALSE AS is_incident, '' AS incident_id,
+  '' AS incident_type, '' AS incident_description FROM oz""", "oz")
 
 # ------------------------------------------------------------------ evaluation
 
@@ -628,9 +626,9 @@ _c, _f, _deps = keyed("erca", "e", ("kpi_name",), "analysis_date")
 cte("frca", f"SELECT s.*, {_c.replace('AS date_key', 'AS analysis_date_key')} FROM {_f}", "erca", *_deps)
 _frca = rca_columns(6).replace("kpi_name, ", "").replace("anomaly_count", "CAST(anomaly_count AS INT) AS anomaly_count")
 sql("fact_rca_contributions", f"SELECT analysis_date_key, kpi_key, {_frca}, recommended_action FROM frca", "frca")
-sql("fact_left_keys", """SELECT k.key AS kpi_key, g.key AS region_key, COUNT(*) AS rows FROM o LEFT JOIN d_o_kpi_name k ON k.member=kpi_name
-  LEFT JOIN (SELECT member, CAST(ROW_NUMBER() OVER (ORDER BY member) AS INT) AS key FROM (SELECT DISTINCT region AS member FROM o WHERE region <> 'ASIA')) g
-  ON g.member=region GROUP BY 1,2""", "o", "d_o_kpi_name")
+sql("fact_left_keys", f"""SELECT date, k.key AS kpi_key, g.key AS region_key, segment, priority, {r('kpi_value', 4)} FROM o
+  LEFT JOIN d_o_kpi_name k ON k.member=kpi_name LEFT JOIN (SELECT member, CAST(ROW_NUMBER() OVER (ORDER BY member) AS INT) AS key
+  FROM (SELECT DISTINCT region AS member FROM o)) g ON g.member=region""", "o", "d_o_kpi_name")
 cte("best", """SELECT * FROM erca WHERE contribution_rank=1 QUALIFY ROW_NUMBER() OVER (PARTITION BY analysis_date, kpi_name
   ORDER BY round(contribution_share,10) DESC, round(degradation_amount,8) DESC, dimension_type) = 1""", "erca")
 
@@ -645,8 +643,7 @@ FROM ihist h LEFT JOIN best b ON b.analysis_date=h.date AND b.kpi_name=h.kpi_aff
 cte("enr", enriched("SELECT date, kpi_name, COUNT(*) AS n FROM em WHERE threshold_breached GROUP BY 1,2"), "ihist", "best", "em")
 cte("enr2", enriched("SELECT date, kpi_name, COUNT(*) AS n FROM ea WHERE residual_anomaly GROUP BY 1,2"), "ihist", "best", "ea")
 sql("incident_enriched", f"SELECT * EXCLUDE (confidence_score, top_contribution_share), {rs('confidence_score top_contribution_share')} FROM enr", "enr")
-sql("incident_details_joined", """SELECT incident_id, CASE WHEN position <= 6 THEN n ELSE 1 END AS anomaly_count,
-  CASE WHEN position <= 6 THEN summary ELSE '' END AS executive_summary FROM ihist""", "ihist")
+sql("incident_details_joined", "SELECT incident_id, n AS anomaly_count, summary AS executive_summary FROM ihist", "ihist")
 _INC = f"""incident_id, {_DK.format('incident_date')} AS incident_date_key, key AS kpi_key, severity, confidence_label, {r('confidence_score', 3)},
   detector_used, anomaly_count, top_root_cause, recommended_action"""
 for _n in ("fact_incidents", "mart_incident_summary"):
@@ -736,5 +733,5 @@ sql("run_summary", """SELECT MIN(date) AS date_min, MAX(date) AS date_max, MAX(l
 FROM ea, (SELECT MAX(date) AS last FROM ea)""", "ea")
 sql("previous_month_value", f"""SELECT {OD}, {r('kpi_value', 4)}, {r('LAG(kpi_value) OVER (PARTITION BY kpi_name, region, segment, priority ORDER BY date)', 4, 'previous')}
   FROM o""", "o")
-sql("segment_labels", """SELECT region || ' / ' || COALESCE(NULLIF(segment, 'BUILDING'), 'nan') || ' / ' || priority AS segment_label, COUNT(*) AS rows
-  FROM o GROUP BY 1""", "o")
+sql("segment_labels", f"""SELECT date, kpi_name, region || ' / ' || COALESCE(NULLIF(segment, 'BUILDING'), 'nan') || ' / ' || priority AS segment_label,
+  {r('kpi_value', 4)} FROM o""", "o")

@@ -8,6 +8,7 @@ from metrivane.functions.scalars import fixed, percent_text
 from metrivane.operators.labels import label_windows
 from metrivane.operators.medians import exact_median
 from metrivane.operators.ranking import rank_with_totals
+from metrivane.plans.warehouse import with_incident_details
 from metrivane.sources.scans import scan_text
 
 
@@ -45,3 +46,10 @@ def test_many_label_rules(spark):
     rows = spark.createDataFrame([(day, "x"), (day + dt.timedelta(1), "y"), (dt.date(2000, 1, 1), "x")], "date date, dim string")
     got = {(r.date, r.dim): (r.is_incident, r.incident_id) for r in label_windows(rows, rules, ["dim"]).collect()}
     assert got == {(day, "x"): (True, "r00000"), (day + dt.timedelta(1), "y"): (True, "r00001"), (dt.date(2000, 1, 1), "x"): (False, "")}
+
+
+def test_incidents_without_details_get_the_defaults(spark):
+    history = spark.createDataFrame([("i1",), ("i2",)], "incident_id string")
+    details = spark.createDataFrame([("i1", 3, "three")], "incident_id string, anomaly_count int, executive_summary string")
+    got = sorted(map(tuple, with_incident_details(history, details).collect()))
+    assert got == [("i1", 3, "three"), ("i2", 1, "")]
