@@ -1,13 +1,14 @@
 """Token files: ids under an adaptive context-mixing range coder.
 
-An id is predicted by the id that followed the last two ids (order 2) and the last one (order 1) before.  Whether the
-prediction holds is a binary event whose probability mixes what both orders have been worth so far; what neither
-predicts is coded by the adaptive frequencies of its bytes (order 0).  Blocks of ids are independent: each starts with
-fresh models and has its length and checksum, so numpy codes many of them side by side and a reader can start
-at any.  All arithmetic is on integers.
-
-File: magic, groups of blocks, table of documents, trailer.  A group has the number of its blocks, whether its ids are wide, then ids,
-bytes and CRC-32 of each, then their bytes.
+A block of ids is cut into lanes that are coded side by side: step t codes the t-th id of every lane, and what it learns
+serves all lanes from step t + 1 on.  An id is predicted by the id that last followed the two ids before it (order 2)
+and the one before it (order 1).  Whether a prediction holds has a probability that mixes, in the logistic domain and
+with weights that adapt, what both orders have been worth so far; what neither predicts is coded by the adaptive
+frequencies of the block's ids (order 0).  Blocks are independent: each starts with fresh models and has its length,
+its alphabet and its checksum, so a reader can start at any.  All arithmetic is on integers.
+
+File: magic, blocks, a zero, table of documents, trailer.  A block has its numbers of ids, lanes and different ids, its
+CRC-32 and the sizes of what follows: the different ids, the words of every lane, the lanes' words.
 """
 
 from __future__ import annotations
@@ -26,200 +27,250 @@ from pyspark.sql import functions as F
 from metrivane.llm.common import shared_folder, ship, stored, table, text_slices
 from metrivane.llm.tokens import encoder
 
-MAGIC = b"MVTOK1\r\n"
-BLOCK = 2048  # ids of a block
-LANES = 1024  # blocks coded side by side
-SLOTS = 1024  # contexts of an order that a block tells apart
+MAGIC = b"MVTOK2\r\n"
+HEAD = struct.Struct("<6I")
+BLOCK = 1 << 20  # ids of a block
+LANES = 4096  # lanes of a block at most
+STEPS = 256  # ids of a lane at least, where the block has them
+SLOTS = 1 << 18  # contexts of order 2 that a block tells apart
+SURE = 7  # confidence of a prediction at most
 END = 2
-TOP, BOT, MASK = np.int64(1 << 24), np.int64(1 << 16), np.int64(0xFFFFFFFF)
+LEAST, WORD, LOW = 1 << 24, 24, (1 << 24) - 1
 _P = np.clip(np.arange(4096), 1, 4095) / 4096
 _STRETCH = np.round(256 * np.log(_P / (1 - _P))).astype(np.int64)
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256.0))), 16, 4080).astype(np.int64)
 
 
+class BadFile(ValueError):
+    """A token file that breaks the format."""
+
+
 class Coder:
-    """Range coders of many lanes; encodes, or decodes what is given as rows of bytes."""
-
-    def __init__(self, lanes: int, data: np.ndarray | None = None):
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, MASK)
-        self.at = np.zeros(lanes, np.int64)
-        self.decoding = data is not None
-        self.data = np.zeros((lanes, BLOCK * 4 + 64), np.uint8) if data is None else data
-        self.code = np.zeros(lanes, np.int64)
+    """Range coders of many lanes with an interval of 48 bits and words of 24.
+
+    The encoder keeps a carry in the 25th bit of a word and hands it on at the end.
+    """
+
+    def __init__(self, lanes: int, steps: int, words: np.ndarray | None = None):
+        self.lanes, self.decoding = lanes, words is not None
+        self.room = 2 * steps + 4  # a step codes two symbols at most, a symbol gives a word at most
+        self.words = np.zeros(self.room * lanes, np.int64) if words is None else words.ravel()
+        self.range = np.full(lanes, 1 << 48, np.int64)
+        self.low = np.zeros(lanes, np.int64)  # decoding: the code's distance from it
+        self.at = np.arange(lanes)  # place of the next word; those of a lane are ``lanes`` apart
         if self.decoding:
-            for _ in range(4):
-                self.code = (self.code << 8) | self._next(np.arange(lanes))
-
-    def _next(self, lanes):
-        got = self.data[lanes, np.minimum(self.at[lanes], self.data.shape[1] - 1)].astype(np.int64)
-        self.at[lanes] += 1
-        return got
-
-    def target(self, lanes, total):
-        """Decoding: the place within ``total`` that the next symbol covers."""
-        return np.minimum(((self.code[lanes] - self.low[lanes]) & MASK) // (self.range[lanes] // total), total - 1)
-
-    def narrow(self, lanes, begin, size, total):
-        part = self.range[lanes] // total
-        low, width = (self.low[lanes] + begin * part) & MASK, part * size
-        while True:
-            same = (low ^ ((low + width))) < TOP
-            tight = ~same & (width < BOT)
-            move = np.flatnonzero(same | tight)
-            if not len(move):
-                break
-            width[tight] = -low[tight] & (BOT - 1)
-            own = lanes[move]
+            self.low = (self.words[:lanes] << WORD) | self.words[lanes : 2 * lanes]
+            self.at = self.at + 2 * lanes
+
+    def narrow(self, own, part, begin, size):
+        """Go on in the ``size`` parts from ``begin``, in the lanes ``own`` (a slice or places)."""
+        width = part * size
+        low = self.low[own] - begin * part if self.decoding else self.low[own] + begin * part
+        short = np.flatnonzero(width < LEAST)
+        if len(short):
+            lanes = short if isinstance(own, slice) else own[short]
+            at = self.at[lanes]
             if self.decoding:
-                self.code[own] = ((self.code[own] << 8) | self._next(own)) & MASK
+                low[short] = (low[short] << WORD) | self.words[at]
             else:
-                self.data[own, self.at[own]] = low[move] >> 24
-                self.at[own] += 1
-            low[move] = (low[move] << 8) & MASK
-            width[move] = (width[move] << 8) & MASK
-        self.low[lanes], self.range[lanes] = low, width
-
-    def bit(self, lanes, p, bit=None):
-        """A binary event with probability p of 4096 to be 1."""
-        if bit is None:
-            bit = self.target(lanes, 4096) < p
-        self.narrow(lanes, np.where(bit, 0, p), np.where(bit, p, 4096 - p), 4096)
-        return bit
-
-    def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.low))
-        for _ in range(4):
-            self.data[lanes, self.at] = self.low >> 24
-            self.at += 1
-            self.low = (self.low << 8) & MASK
-        return [row[:n].tobytes() for row, n in zip(self.data, self.at.tolist())]
-
-
-class Bytes:
-    """Adaptive frequencies of a byte in every lane, as 16 x 16 counts with row sums."""
-
-    def __init__(self, lanes: int):
-        self.count = np.ones((lanes, 16, 16), np.int32)
-        self.rows = np.full((lanes, 16), 16, np.int32)
-        self.total = np.full(lanes, 256, np.int64)
-
-    def code(self, coder: Coder, lanes, value=None):
-        total = self.total[lanes]
-        row_ends = np.cumsum(self.rows[lanes], 1)
-        if value is None:
-            target = coder.target(lanes, total)
-            high = (row_ends <= target[:, None]).sum(1)
+                out = low[short]
+                self.words[at] = out >> WORD
+                low[short] = (out & LOW) << WORD
+            width[short] <<= WORD
+            self.at[lanes] = at + self.lanes
+        self.low[own], self.range[own] = low, width
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray]:
+        """(words of every lane, all words lane by lane)."""
+        self.words[self.at] = (self.low + LOW) >> WORD
+        words, counts = self.words.reshape(self.room, self.lanes), self.at // self.lanes + 1
+        words = words[: counts.max()]
+        for j in range(len(words) - 1, 0, -1):
+            words[j - 1] += words[j] >> WORD
+            words[j] &= LOW
+        return counts, words.T[np.arange(len(words)) < counts[:, None]]
+
+
+class Frequencies:
+    """Order 0: adaptive frequencies of the symbols that no context has predicted."""
+
+    def __init__(self, symbols: int, decoding: bool):
+        self.bits = min(22, max(16, symbols.bit_length() + 4))
+        self.count, self.decoding = np.ones(symbols, np.int64), decoding
+        self.refresh()
+
+    def learn(self, symbols: np.ndarray):
+        self.count += 16 * np.bincount(symbols, minlength=len(self.count))
+
+    def refresh(self):
+        size = 1 + self.count * ((1 << self.bits) - len(self.count)) // int(self.count.sum())
+        size[np.argmax(size)] += (1 << self.bits) - int(size.sum())
+        self.size, self.begin = size, np.cumsum(size) - size
+        if self.decoding:
+            self.symbol = np.repeat(np.arange(len(size)), size)
+
+
+class Mixer:
+    """Frequencies, of 65,536, of a hit of order 2 and of one of order 1, for every state of the two predictions.
+
+    A state is the confidence of order 2, that of order 1, and whether both predict the same id.
+    """
+
+    def __init__(self):
+        kinds = SURE + 1
+        self.tried = [np.full(kinds, 2, np.int64), np.full(2 * kinds, 2, np.int64), np.full(kinds, 2, np.int64)]
+        self.held = [np.ones(kinds, np.int64), np.ones(2 * kinds, np.int64), np.ones(kinds, np.int64)]
+        self.weight = np.full((2, 2), 1 << 15, np.int64)  # order, whether both predict the same
+        self.mix()
+
+    def mix(self):
+        two, one, after = (np.clip(4096 * h // n, 1, 4095) for h, n in zip(self.held, self.tried))
+        self.two, self.one = _STRETCH[two][:, None], _STRETCH[one].reshape(1, -1, 2)
+        both = (self.weight[0] * self.two[:, :, None] + self.weight[1] * self.one) >> 16
+        self.p = _SQUASH[np.clip(both, -2048, 2047) + 2048]
+        first = self.p << 4
+        second = ((65536 - first) * np.clip(after, 16, 4080)[None, :, None]) >> 12
+        second[:, :, 1] = 0
+        self.first, self.second = first.ravel(), second.ravel()
+
+    def learn(self, state: np.ndarray, two: np.ndarray, one: np.ndarray):
+        """The states of a step and whether order 2, or else order 1, was right in them."""
+        size, shape = self.first.size, self.p.shape
+        n = np.bincount(state, minlength=size).reshape(shape)
+        hit = np.bincount(state[two], minlength=size).reshape(shape)
+        other = np.bincount(state[one], minlength=size).reshape(shape)
+        error = (hit << 12) - n * self.p
+        slope = [(self.two[:, :, None] * error).sum((0, 1)), (self.one * error).sum((0, 1))]
+        self.weight = np.clip(self.weight + (np.stack(slope) // len(state) >> 4), -(1 << 18), 1 << 18)
+        missed = (n - hit)[:, :, 0].sum(0)
+        news = [(n.sum((1, 2)), hit.sum((1, 2))), (n.sum(0).ravel(), (hit + other).sum(0).ravel()), (missed, other[:, :, 0].sum(0))]
+        for k, (some, right) in enumerate(news):
+            self.tried[k] += some - (self.tried[k] - 2 >> 3)
+            self.held[k] += right - (self.held[k] - 1 >> 3)
+        self.mix()
+
+
+def _learned(table: np.ndarray, places: np.ndarray, entry: np.ndarray, sure: np.ndarray, right: np.ndarray, value: np.ndarray):
+    """Entries are the predicted symbol and its confidence; of lanes at one place the last one's entry stays."""
+    other = np.where(sure > 1, entry - (sure + 1 >> 1), value << 3)
+    table[places] = np.where(right, entry + (sure < SURE), other)
+
+
+def code_steps(coder: Coder, symbols: int, steps: int, rows: np.ndarray | None) -> np.ndarray:
+    """Code the symbols (a row for every step); with ``rows`` None they are decoded and returned."""
+    lanes, every = coder.lanes, slice(None)
+    out = np.zeros((steps, lanes), np.int64) if rows is None else rows
+    after_two, after_one = np.zeros(SLOTS, np.int64), np.zeros(symbols, np.int64)
+    mixer, zero = Mixer(), Frequencies(symbols, rows is None)
+    one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    for t in range(steps):
+        place = ((one * 0x9E3779B1 + two * 0x85EBCA6B) >> 15) & (SLOTS - 1)
+        e2, e1 = after_two[place], after_one[one]
+        g2, g1, c2, c1 = e2 >> 3, e1 >> 3, e2 & SURE, e1 & SURE
+        state = (c2 << 4) | (c1 << 1) | (g1 == g2)
+        f2, f1 = mixer.first[state], mixer.second[state]
+        part = coder.range >> 16
+        if rows is None:
+            edge = part * f2
+            hit2 = coder.low < edge
+            miss = coder.low >= edge + part * f1
+            hit1 = ~(hit2 | miss)
         else:
-            high = value >> 4
-        i = np.arange(len(lanes))
-        below = row_ends[i, high] - self.rows[lanes, high]
-        ends = np.cumsum(self.count[lanes, high], 1) + below[:, None]
-        low = (ends <= target[:, None]).sum(1) if value is None else value & 15
-        size = self.count[lanes, high, low]
-        coder.narrow(lanes, ends[i, low] - size, size, total)
-        self.count[lanes, high, low] += 24
-        self.rows[lanes, high] += 24
-        self.total[lanes] += 24
-        full = lanes[self.total[lanes] > 16000]
-        if len(full):
-            self.count[full] = (self.count[full] + 1) >> 1
-            self.rows[full] = self.count[full].sum(2)
-            self.total[full] = self.rows[full].sum(1)
-        return high * 16 + low
-
-
-def code_lanes(coder: Coder, lengths: np.ndarray, ids: np.ndarray | None, wide: bool) -> np.ndarray:
-    """Code lanes of ids (rows, padded); with ``ids`` None the ids are decoded and returned.  ``wide``: some id has
-    a third byte."""
-    n, longest = len(lengths), int(lengths.max(initial=0))
-    out = np.zeros((n, longest), np.int64) if ids is None else ids
-    guess = [np.full((n, SLOTS), -1, np.int64) for _ in range(2)]
-    trust = [np.zeros((n, SLOTS), np.int64) for _ in range(2)]
-    worth = [np.full((n, 4), 1 << 15, np.int64), np.full((n, 8), 1 << 15, np.int64)]
-    second = np.full((n, 4), 1 << 14, np.int64)
-    weights = np.full((n, 2), 1 << 15, np.int64)
-    high, mid, low = Bytes(n), Bytes(n), Bytes(n)
-    one, two = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for t in range(longest):
-        lanes = np.flatnonzero(lengths > t)
-        true = None if ids is None else ids[lanes, t]
-        places = [((one[lanes] * 40503 + two[lanes] * 30011) >> 3) % SLOTS, (one[lanes] * 40503 >> 3) % SLOTS]
-        g2, g1 = guess[0][lanes, places[0]], guess[1][lanes, places[1]]
-        c2, c1 = trust[0][lanes, places[0]], trust[1][lanes, places[1]]
-        state = c1 * 2 + (g1 == g2)
-        p2, p1 = worth[0][lanes, c2], worth[1][lanes, state]
-        s2, s1 = _STRETCH[p2 >> 4], _STRETCH[p1 >> 4]
-        w = weights[lanes]
-        p = _SQUASH[np.clip((w[:, 0] * s2 + w[:, 1] * s1) >> 16, -2047, 2047) + 2048]
-        first = coder.bit(lanes, p, None if true is None else true == g2)
-        error = (first.astype(np.int64) << 12) - p
-        weights[lanes] = np.clip(w + (np.stack([s2, s1], 1) * error[:, None] >> 10), -(1 << 18), 1 << 18)
-        worth[0][lanes, c2] += ((first.astype(np.int64) << 16) - p2 - first) >> 5
-        worth[1][lanes, state] += ((first.astype(np.int64) << 16) - p1 - first) >> 5
-        value = np.where(first, g2, -1)
-        ask = np.flatnonzero(~first & (g1 != g2))
-        if len(ask):
-            p = second[lanes[ask], c1[ask]]
-            hit = coder.bit(lanes[ask], np.clip(p >> 4, 16, 4080), None if true is None else true[ask] == g1[ask])
-            second[lanes[ask], c1[ask]] += ((hit.astype(np.int64) << 16) - p - hit) >> 5
-            value[ask[hit]] = g1[ask[hit]]
-        rest = np.flatnonzero(value < 0) if true is None else np.flatnonzero(~first & ~((g1 != g2) & (true == g1)))
+            value = rows[t]
+            hit2 = g2 == value
+            hit1 = (g1 == value) & ~hit2
+            miss = ~(hit2 | hit1)
+        begin = np.where(hit2, 0, np.where(hit1, f2, f2 + f1))
+        coder.narrow(every, part, begin, np.where(hit2, f2, np.where(hit1, f1, 65536 - f2 - f1)))
+        rest = np.flatnonzero(miss)
+        if rows is None:
+            value = np.where(hit2, g2, g1)
         if len(rest):
-            own, v = lanes[rest], None if true is None else true[rest]
-            top = high.code(coder, own, None if v is None else v >> 16) if wide else 0
-            b = mid.code(coder, own, None if v is None else v >> 8 & 255)
-            c = low.code(coder, own, None if v is None else v & 255)
-            value[rest] = (top << 16) + (b << 8) + c
-        for k in range(2):
-            g, c = guess[k][lanes, places[k]], trust[k][lanes, places[k]]
-            right = g == value
-            trust[k][lanes, places[k]] = np.where(right, np.minimum(c + 1, 3), c >> 1)
-            guess[k][lanes, places[k]] = np.where(right | (c > 1), g, value)
-        if ids is None:
-            out[lanes, t] = value
-        two[lanes], one[lanes] = one[lanes], value
+            part = coder.range[rest] >> zero.bits
+            if rows is None:
+                value[rest] = zero.symbol[np.minimum(coder.low[rest] // part, len(zero.symbol) - 1)]
+            own = value[rest]
+            coder.narrow(rest, part, zero.begin[own], zero.size[own])
+            zero.learn(own)
+        if rows is None:
+            out[t] = value
+        if t % 16 == 0 or t in (1, 2, 4, 8):
+            zero.refresh()
+        mixer.learn(state, hit2, hit1)
+        _learned(after_two, place, e2, c2, g2 == value, value)
+        _learned(after_one, one, e1, c1, g1 == value, value)
+        two, one = one, value
     return out
 
 
-def pack_ids(ids: np.ndarray) -> bytes:
-    """A group of blocks."""
-    n = -(-len(ids) // BLOCK)
-    lengths = np.full(n, BLOCK, np.int64)
-    if n:
-        lengths[-1] = len(ids) - BLOCK * (n - 1)
-    rows = np.zeros((n, BLOCK), np.int64)
-    rows.ravel()[: len(ids)] = ids
-    coder = Coder(n)
-    wide = bool((rows >= 65536).any())
-    code_lanes(coder, lengths, rows, wide)
-    data = coder.finish()
-    sums = [zlib.crc32(ids[i * BLOCK : (i + 1) * BLOCK].astype("<u4").tobytes()) for i in range(n)]
-    head = np.array([lengths.tolist(), [len(d) for d in data], sums], "<u4")
-    return struct.pack("<IB", n, wide) + head.tobytes() + b"".join(data)
+def shape_of(n: int) -> tuple[int, int]:
+    """(lanes, steps) of a block of ``n`` ids."""
+    lanes = min(LANES, -(-n // STEPS))
+    return lanes, -(-n // lanes)
 
 
-class BadFile(ValueError):
-    """A token file that breaks the format."""
+def pack_ids(ids: np.ndarray) -> bytes:
+    """A block of ids, at least one."""
+    alphabet, symbols = np.unique(ids, return_inverse=True)
+    lanes, steps = shape_of(len(ids))
+    rows = np.zeros(lanes * steps, np.int64)
+    rows[: len(ids)] = symbols
+    coder = Coder(lanes, steps)
+    code_steps(coder, len(alphabet), steps, np.ascontiguousarray(rows.reshape(lanes, steps).T))
+    counts, words = coder.finish()
+    known = zlib.compress(np.diff(alphabet.astype(np.int64), prepend=0).astype("<u4").tobytes())
+    data = np.ascontiguousarray(words.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
+    sizes = zlib.compress(counts.astype("<u4").tobytes())
+    crc = zlib.crc32(ids.astype("<u4").tobytes())
+    return HEAD.pack(len(ids), len(alphabet), crc, len(known), len(sizes), len(data)) + known + sizes + data
+
+
+def block_head(stream) -> tuple | None:
+    """The numbers before the next block; None at the end of the blocks."""
+    first = stream.read(4)
+    if first == b"\0\0\0\0":
+        return None
+    head = first + stream.read(HEAD.size - 4)
+    if len(head) != HEAD.size:
+        raise BadFile("the file ends within a block")
+    return HEAD.unpack(head)
+
+
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    try:
+        out = np.frombuffer(zlib.decompress(data), "<u4").astype(np.int64)
+    except (zlib.error, ValueError) as e:
+        raise BadFile("a block's table is broken") from e
+    if len(out) != n:
+        raise BadFile("a block's table has another length")
+    return out
 
 
 def unpack_ids(stream) -> np.ndarray:
-    """The ids of the next group; none at the end of the groups."""
-    (n,) = struct.unpack("<I", stream.read(4))  # 0 ends the groups
-    if not n:
+    """The ids of the next block; none at the end of the blocks."""
+    head = block_head(stream)
+    if head is None:
         return np.zeros(0, np.uint32)
-    wide = stream.read(1) == b"\x01"
-    lengths, sizes, sums = np.frombuffer(stream.read(12 * n), "<u4").reshape(3, n).astype(np.int64)
-    data = np.zeros((n, int(sizes.max()) + 8), np.uint8)
-    for i, size in enumerate(sizes.tolist()):
-        raw = stream.read(size)
-        if len(raw) != size:
-            raise BadFile("the file ends within a block")
-        data[i, :size] = np.frombuffer(raw, np.uint8)
-    rows = code_lanes(Coder(n, data), lengths, None, wide).astype("<u4")
-    for row, length, crc in zip(rows, lengths.tolist(), sums.tolist()):
-        if zlib.crc32(row[:length].tobytes()) != crc:
-            raise BadFile("a block's checksum differs")
-    return np.concatenate([row[:length] for row, length in zip(rows, lengths.tolist())])
+    n, symbols, crc, *sizes = head
+    known, counts, data = (stream.read(size) for size in sizes)
+    if [len(known), len(counts), len(data)] != sizes:
+        raise BadFile("the file ends within a block")
+    if n > BLOCK or not 0 < symbols <= n:
+        raise BadFile("a block's numbers are out of bounds")
+    lanes, steps = shape_of(n)
+    alphabet, counts = np.cumsum(_numbers(known, symbols)), _numbers(counts, lanes)
+    room = 2 * steps + 4
+    if int(counts.max()) > room or int(counts.sum()) * 3 != len(data):
+        raise BadFile("a block's words differ from its table")
+    words = np.zeros((lanes, room), np.int64)
+    flat = np.zeros((len(data) // 3, 4), np.uint8)
+    flat[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    words[np.arange(room) < counts[:, None]] = flat.view("<u4").ravel()
+    coder = Coder(lanes, steps, np.ascontiguousarray(words.T))
+    ids = alphabet[code_steps(coder, symbols, steps, None).T.ravel()[:n]].astype("<u4")
+    if zlib.crc32(ids.tobytes()) != crc:
+        raise BadFile("a block's checksum differs")
+    return ids
 
 
 def write_task(folder: str, path: str, end: int):
@@ -236,8 +287,8 @@ def write_task(folder: str, path: str, end: int):
                 nonlocal waiting, size
                 ids = np.concatenate(waiting) if waiting else np.zeros(0, np.uint32)
                 while len(ids) >= max(least, 1):
-                    out.write(pack_ids(ids[: LANES * BLOCK]))
-                    ids = ids[LANES * BLOCK :]
+                    out.write(pack_ids(ids[: BLOCK]))
+                    ids = ids[BLOCK :]
                 waiting, size = [ids], len(ids)
 
             for batch in batches:
@@ -248,8 +299,8 @@ def write_task(folder: str, path: str, end: int):
                     docs += batch.column(0).slice(first, len(texts)).to_pylist()
                     size += len(waiting[-1])
                     total += len(waiting[-1])
-                    if size >= LANES * BLOCK:
-                        flush(LANES * BLOCK)
+                    if size >= BLOCK:
+                        flush(BLOCK)
             flush(1)
             out.write(struct.pack("<I", 0))
             ids = np.array([0 if d is None else d for d in docs], "<i8").tobytes()
@@ -277,7 +328,7 @@ def write(docs: DataFrame, folder: str, path: str, end: int = END) -> DataFrame:
 
 
 def documents_of(stream_of) -> tuple[list, np.ndarray]:
-    """(doc_ids, counts) from the table behind the groups; ``stream_of`` stands there."""
+    """(doc_ids, counts) from the table behind the blocks; ``stream_of`` stands there."""
     head = stream_of.read(20)
     if len(head) != 20:
         raise BadFile("no table of documents")
@@ -291,17 +342,13 @@ def documents_of(stream_of) -> tuple[list, np.ndarray]:
     return ids, np.frombuffer(raw[9 * n :], "<u8").astype(np.int64)
 
 
-def skip_groups(stream) -> None:
-    while True:
-        (n,) = struct.unpack("<I", stream.read(4))
-        if not n:
-            return
-        sizes = np.frombuffer(stream.read(1 + 12 * n)[1:], "<u4").reshape(3, n)[1]
-        stream.seek(int(sizes.sum()), 1)
+def skip_blocks(stream) -> None:
+    while (head := block_head(stream)) is not None:
+        stream.seek(sum(head[3:]), 1)
 
 
 def read_task(folder: str, render, schema):
-    """``render(doc_id, start, ids)`` gives a row for each document of a file; groups are decoded one at a time."""
+    """``render(doc_id, start, ids)`` gives a row for each document of a file; blocks are decoded one at a time."""
 
     def run(batches):
         store, _ = fs.FileSystem.from_uri(folder)
@@ -310,7 +357,7 @@ def read_task(folder: str, render, schema):
                 with store.open_input_file(path) as f:
                     if f.read(len(MAGIC)) != MAGIC:
                         raise BadFile("not a token file")
-                    skip_groups(f)
+                    skip_blocks(f)
                     docs, counts = documents_of(f)
                 with store.open_input_stream(path, compression=None) as f:
                     f.read(len(MAGIC))
