@@ -1,9 +1,11 @@
 """Toxic spans by a linear-chain conditional random field.
 
-A field of two states (harmless, toxic) tags the words of a text.  It is fitted in one task on a bounded sample of
-labelled documents.  The labels are of documents; a word of a toxic document is labelled toxic if it, or a
+A field of two states (harmless, toxic) tags the words of a text.  It is fitted on TRAIN_ROWS labelled documents of
+each label value.  The labels are of documents; a word of a toxic document is labelled toxic if it, or a
 beginning of it, stands in toxic documents far more often than in others.  Forward-backward marginals
 give the offending spans; a logistic model of their sum, maximum and density gives the document's score.
+
+Spark tasks read the whole texts of the sample; the fitting task gets only the places of the features in them.
 """
 
 from __future__ import annotations
@@ -19,8 +21,7 @@ from pyspark.sql import functions as F
 from metrivane.llm.common import ship, stored, table, text_slices
 from metrivane.llm.tokens import hash_sums, sum_hashes
 
-TRAIN_ROWS = 4000  # labelled documents in the sample
-TRAIN_WORDS = 3_000_000  # words of them that are looked at
+TRAIN_ROWS = 4000  # labelled documents of each label value in the sample
 FEATURES = 4096  # features of the field at most
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that are features besides the whole word
 DEVIATIONS = 4.0  # standard deviations by which toxic documents with a telling feature exceed what chance gives
@@ -59,16 +60,21 @@ def feature_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> li
 
 
 def chain(emission: np.ndarray, transition: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Normalised forward messages of many chains in a row; ``first`` marks where a chain begins.
+    """Normalised forward messages of many chains in a row; ``first`` marks where a chain begins."""
+    step = transition[None] * emission[:, None, :]
+    step[first] = emission[first][:, None, :]
+    return messages(step)
+
+
+def messages(step: np.ndarray) -> np.ndarray:
+    """The normalised row vectors that an even one becomes by the products of the first 1, 2, ... matrices.
 
-    The messages are products of 2 x 2 matrices.  Blocks of them are multiplied side by side, then the
-    block products by the same function's means, so the work is in numpy and not in a loop over words.
+    Blocks of matrices are multiplied side by side, then the block products by the same function's means, so the
+    work is in numpy and not in a loop over words.
     """
-    n = len(emission)
+    n = len(step)
     if n == 0:
-        return emission
-    step = transition[None] * emission[:, None, :]
-    step[first] = emission[first][:, None, :]
+        return np.zeros((0, 2))
     rows = -(-n // BLOCK)
     padded = np.broadcast_to(np.eye(2), (rows * BLOCK, 2, 2)).copy()
     padded[:n] = step
@@ -173,72 +179,105 @@ def document_features(marginal: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(texts: list[bytes], toxic: np.ndarray, rounds: int = 60) -> Model | None:
-    """The model of labelled texts; None without texts of both kinds."""
-    if not len(toxic) or toxic.min() == toxic.max():
-        return None
-    seen = {0: [], 1: []}
-    for text, label in zip(texts, toxic.tolist()):
+def feature_counts(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, toxic texts, other texts that hold them)."""
+    held = []
+    for text in texts:
         data, starts, ends, _ = words_of([text])
-        seen[label].append(np.unique(np.concatenate(feature_hashes(data, starts, ends))))
-    held = {k: np.unique(np.concatenate(v), return_counts=True) for k, v in seen.items()}
-    keys, tox = held[1]
-    i = np.minimum(np.searchsorted(held[0][0], keys), max(len(held[0][0]) - 1, 0))
-    clean = np.where(held[0][0][i] == keys, held[0][1][i], 0) if len(held[0][0]) else np.zeros(len(keys))
-    rate, both = len(seen[1]) / len(toxic), tox + clean
-    excess = (tox - rate * both - 1) / np.sqrt(rate * (1 - rate) * both)
-    telling = (keys != 0) & (excess >= DEVIATIONS) & (tox >= SHARE * both)
-    order = np.argsort(-excess * telling, kind="stable")[: min(FEATURES, int(telling.sum()))]
-    chosen = np.sort(keys[order])
-    if not len(chosen):
-        chosen = np.zeros(1, np.uint64)
-    model = Model(chosen, np.zeros(len(chosen)), 0.0, np.full((2, 2), 0.5), np.zeros(4))
-    # as many harmless texts as toxic ones are enough for the field
-    bad = np.flatnonzero(toxic == 1)
-    use = np.sort(np.concatenate([bad, np.flatnonzero(toxic == 0)[: len(bad)]]))
-    data, starts, ends, counts = words_of([texts[j] for j in use])
-    first = firsts(counts)
-    hits = [model.indices(h) for h in feature_hashes(data, starts, ends)]
-    at, feature = np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
-    gold = np.zeros(len(starts))
+        held.append(np.unique(np.concatenate(feature_hashes(data, starts, ends))))
+    keys, place = np.unique(np.concatenate(held), return_inverse=True)
+    both = np.bincount(place, minlength=len(keys))
+    bad = np.bincount(place, np.repeat(toxic, [len(h) for h in held]), len(keys)).astype(np.int64)
+    return keys, bad, both - bad
+
+
+def runs_of(inner: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of so many equal steps ``inner``: their products, and for each entry (i, j) the sum over the
+    places in the run of the product in which that one step is 1 at (i, j) and 0 elsewhere; each run to a scale of its own."""
+    square = np.zeros((4, 4, 4))
+    square[:, :2, :2] = square[:, 2:, 2:] = inner
+    square[[0, 1, 2, 3], [0, 0, 1, 1], [2, 3, 2, 3]] = 1
+    power = np.broadcast_to(np.eye(4), (len(lengths), 4, 4, 4)).copy()
+    left = lengths.copy()
+    while left.any():
+        odd = left % 2 == 1
+        grown = power[odd] @ square
+        power[odd] = grown / grown[:, :1, :2, :2].max((1, 2, 3), keepdims=True)
+        square = square @ square
+        square /= square[0, :2, :2].max()
+        left //= 2
+    # the scale of the squares is the same for all four entries, so the sums and the products stay in proportion
+    return power[:, 0, :2, :2], power[:, :, :2, 2:]
+
+
+def fit_field(counts: np.ndarray, toxic: np.ndarray, hits: list[tuple[np.ndarray, np.ndarray]], features: int, rounds: int = 60):
+    """(weights, bias, transition) from the words of each text, its label, and the (words, features) it holds.
+
+    Runs of words without features are all alike: they are one product of matrices each, so the work grows with the
+    features that texts hold and not with their length, and every word counts.
+    """
+    begin = np.cumsum(counts) - counts
+    word = np.concatenate([b + h[0] for b, h in zip(begin.tolist(), hits)] or [np.zeros(0, np.int64)]).astype(np.int64)
+    feature = np.concatenate([h[1] for h in hits] or [np.zeros(0, np.int64)]).astype(np.int64)
+    heads = begin[counts > 0]
+    items = np.union1d(heads, word)  # words with features and first words; a run of words without them follows each
+    at = np.searchsorted(items, word)
+    first = np.isin(items, heads)
+    gold = np.zeros(len(items))
     gold[at] = 1
-    gold *= np.repeat(toxic[use], counts)
-    if not len(gold):
-        return None
+    gold *= np.repeat(toxic, counts > 0)[np.cumsum(first) - 1]
+    gap = np.diff(items, append=int(counts.sum())) - 1
+    lengths, kind = np.unique(gap, return_inverse=True)
     inner = np.flatnonzero(~first)
-    pairs = np.bincount((gold[inner - 1] * 2 + gold[inner]).astype(int), minlength=4).reshape(2, 2)
-    theta = np.zeros(len(chosen) + 1 + 4)
-    theta[len(chosen)] = -2.0
+    pairs = np.bincount((gold[inner - 1] * (gap[inner - 1] == 0) * 2 + gold[inner]).astype(int), minlength=4).reshape(2, 2).astype(float)
+    pairs[1, 0] += (gold * (gap > 0)).sum()
+    pairs[0, 0] += gap.sum() - (gold * (gap > 0)).sum()
+    theta = np.zeros(features + 1 + 4)
+    theta[features] = -2.0
+    even = np.full((1, 2), 0.5)
     mean, square, scale = np.zeros_like(theta), np.zeros_like(theta), max(gold.sum(), 1.0)
-    for r in range(1, rounds + 1):
-        weights, bias, transition = theta[:-5], theta[-5], np.exp(theta[-4:]).reshape(2, 2)
-        potential = np.full(len(gold), bias)
-        np.add.at(potential, at, weights[feature])
-        marginal, ahead, back = forward_backward(potential, transition, first)
-        joint = ahead[inner - 1][:, :, None] * transition[None] * back[inner][:, None, :]
-        joint /= joint.sum((1, 2), keepdims=True)
-        error = marginal - gold
-        slope = np.concatenate([np.bincount(feature, error[at], len(chosen)), [error.sum()], (joint.sum(0) - pairs).ravel()]) / scale
+    for r in range(1, rounds + 1 if len(items) else 1):
+        slope = slopes(theta, at, feature, gold, first, kind, lengths, pairs, even) / scale
         slope += 1e-4 * theta
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         theta -= 0.2 * (mean / (1 - 0.9**r)) / (np.sqrt(square / (1 - 0.99**r)) + 1e-8)
-    model.weights, model.bias, model.transition = theta[:-5], float(theta[-5]), np.exp(theta[-4:]).reshape(2, 2)
-    features = []
-    for begin in range(0, len(texts), 200):
-        data, starts, ends, counts = words_of(texts[begin : begin + 200])
-        marginal, _, _ = forward_backward(model.potentials(feature_hashes(data, starts, ends)), model.transition, firsts(counts))
-        features.append(document_features(marginal, counts))
-    model.document = logistic(np.concatenate(features), toxic)
-    return model
+    return theta[:-5], float(theta[-5]), np.exp(theta[-4:]).reshape(2, 2)
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of a logistic model with a little ridge, by Newton steps."""
+def slopes(theta, at, feature, gold, first, kind, lengths, pairs, even) -> np.ndarray:
+    """Expected less labelled counts of every feature, of toxic words and of transitions."""
+    weights, bias, transition = theta[:-5], theta[-5], np.exp(theta[-4:]).reshape(2, 2)
+    potential = np.full(len(gold), bias)
+    np.add.at(potential, at, weights[feature])
+    emission = np.stack([np.ones(len(gold)), np.exp(np.clip(potential, -30, 30))], 1)
+    emission /= emission.sum(1, keepdims=True)
+    plain = np.array([1, np.exp(np.clip(bias, -30, 30))])
+    plain = transition * (plain / plain.sum())
+    product, entries = runs_of(plain, lengths)
+    step = transition[None] * emission[:, None, :]
+    step[first] = emission[first][:, None, :]
+    run = product[kind]
+    whole = step @ run
+    before = np.concatenate([even, messages(whole)[:-1]])
+    after = np.concatenate([messages(whole[::-1].transpose(0, 2, 1))[::-1][1:], even])
+    joint = before[:, :, None] * step * (run @ after[:, :, None]).transpose(0, 2, 1)
+    joint /= joint.sum((1, 2), keepdims=True)
+    marginal = joint[:, :, 1].sum(1)
+    entered = (before[:, None, :] @ step)[:, 0]
+    within = np.einsum("na,nkab,nb->nk", entered, entries[kind], after) / np.einsum("na,nab,nb->n", entered, run, after)[:, None]
+    within = (within * plain.ravel()).sum(0).reshape(2, 2)
+    error = marginal - gold
+    moved = joint[~first].sum(0) + within - pairs
+    return np.concatenate([np.bincount(feature, error[at], len(weights)), [error.sum() + within[:, 1].sum()], moved.ravel()])
+
+
+def logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Weights of a logistic model with a little ridge, by Newton steps; a row counts ``share`` times."""
     beta = np.zeros(x.shape[1])
     for _ in range(30):
         p = sigmoid(x @ beta)
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(x.shape[1])
-        step = np.linalg.solve(hess, x.T @ (p - y) + 0.1 * beta)
+        hess = (x * (share * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(x.shape[1])
+        step = np.linalg.solve(hess, x.T @ (share * (p - y)) + 0.1 * beta)
         beta -= step * min(1.0, 4.0 / max(np.abs(step).max(), 1e-12))
     return beta
 
@@ -248,31 +287,110 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
-    """The model of a sample of TRAIN_ROWS labelled documents that are not held out, by the hash of doc_id.
+    """The model of TRAIN_ROWS labelled documents of each label value that are not held out, by the hash of doc_id.
 
-    Rows with a null doc_id or label are passed over; of repeated labels the larger counts, of repeated documents
-    one.  Only the sample goes to the one training task, and only the model to the driver.
+    Rows with a null doc_id or label and labels of no document are passed over; of repeated labels the larger counts,
+    of repeated documents one.  Texts are read whole.  Label values of which not all documents are drawn are weighted
+    up to all of them.  None where ``labels`` holds one value only; an error where it holds both and the documents do not.
     """
     ship(docs.sparkSession)
-    known = labels.filter("toxic is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
-    sample = known.groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic")).withColumn("draw", F.xxhash64("doc_id"))
-    sample = sample.orderBy("draw", "doc_id").limit(TRAIN_ROWS)  # a bounded table: it may be broadcast
+    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
+    usable = known.filter(~held_out(F.col("doc_id"))).join(docs.select("doc_id"), "doc_id", "left_semi")
+    usable = stored(usable.withColumn("draw", F.xxhash64("doc_id")), "toxic-labels")
+    total = {r.toxic: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    if set(total) != {0, 1}:
+        kinds = {r.toxic for r in known.select("toxic").distinct().collect()}
+        if kinds - {0, 1}:
+            raise ValueError(f"labels other than 0 and 1: {sorted(kinds - {0, 1})[:5]}")
+        if len(kinds) < 2 or docs.isEmpty():
+            return None
+        raise ValueError(f"labels are toxic and harmless, but those of documents that are not held out are not: {total}")
+    drawn = np.array([min(TRAIN_ROWS, total[k]) for k in (0, 1)])
+    share = np.array([total[0], total[1]]) / drawn
+    one, other = (usable.filter(F.col("toxic") == k).orderBy("draw", "doc_id").limit(TRAIN_ROWS) for k in (0, 1))
+    sample = one.union(other)  # a bounded table: it may be broadcast
     texts = docs.select("doc_id", F.coalesce(docs["text"], F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
     texts = stored(texts.groupBy("doc_id", "draw", "toxic").agg(F.min("text").alias("text")), "toxic-sample")
+    model = Model(telling(texts, drawn, share), np.zeros(0), 0.0, np.full((2, 2), 0.5), np.zeros(4))
+    model = field(texts, model)
+    model.document = document_weights(texts, model, share)
+    return model
+
+
+def telling(texts: DataFrame, drawn: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the words and beginnings that toxic texts hold far more often than others do."""
+
+    def run(batches):
+        for batch in batches:
+            toxic = batch.column(1).to_numpy()
+            for first, rows in text_slices(batch.column(0), 4 << 20):
+                keys, bad, good = feature_counts(rows, toxic[first : first + len(rows)])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(bad), pa.array(good)], names=["key", "bad", "good"])
+
+    rate, bad, good = float(drawn[1] / drawn.sum()), F.col("bad"), F.col("good")
+    held = texts.select("text", "toxic").mapInArrow(run, "key long, bad long, good long").filter("key != 0")
+    held = held.groupBy("key").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    held = held.withColumn("excess", (bad - rate * (bad + good) - 1) / F.sqrt(rate * (1 - rate) * (bad + good)))
+    held = held.filter((F.col("excess") >= DEVIATIONS) & (bad * float(share[1]) >= SHARE * (bad * float(share[1]) + good * float(share[0]))))
+    keys = [r.key for r in held.orderBy(F.desc("excess"), "key").select("key").limit(FEATURES).collect()]
+    return np.sort(np.array(keys or [-1], np.int64).view(np.uint64))
+
+
+def field(texts: DataFrame, model: Model) -> Model:
+    """``model`` with the weights of its features, bias and transitions, fitted in one task on the places of features."""
+
+    def places(batches):
+        for batch in batches:
+            for first, rows in text_slices(batch.column(3)):
+                words, features, counts = [], [], []
+                for text in rows:
+                    data, starts, ends, count = words_of([text])
+                    hits = [model.indices(h) for h in feature_hashes(data, starts, ends)]
+                    words.append(np.concatenate([h[0] for h in hits]))
+                    features.append(np.concatenate([h[1] for h in hits]))
+                    counts.append(int(count[0]))
+                of_rows = [batch.column(i).slice(first, len(rows)) for i in range(3)]
+                lists = [pa.array([x.astype(np.int32) for x in some], pa.list_(pa.int32())) for some in (words, features)]
+                yield pa.RecordBatch.from_arrays([*of_rows, pa.array(counts, pa.int32()), *lists], names=["doc_id", "draw", "toxic", "n", "words", "features"])
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("draw", "ascending"), ("doc_id", "ascending")])
+        toxic = rows.column("toxic").to_numpy()
+        # as many harmless texts as toxic ones are enough for the field
+        bad = np.flatnonzero(toxic == 1)
+        use = np.sort(np.concatenate([bad, np.flatnonzero(toxic == 0)[: len(bad)]]))
+        rows = rows.take(pa.array(use))
+        lists = [[x.values.to_numpy() for x in rows.column(c)] for c in ("words", "features")]
+        found = fit_field(rows.column("n").to_numpy().astype(np.int64), toxic[use], list(zip(*lists)), len(model.keys))
+        return pa.table({"field": pa.array([pickle.dumps(found)], pa.binary())})
+
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    found = texts.select("doc_id", "draw", "toxic", "text").mapInArrow(places, f"doc_id {id_type}, draw long, toxic long, n int, words array<int>, features array<int>")
+    found = found.groupBy(F.lit(1).alias("all")).applyInArrow(run, "field binary").collect()
+    return Model(model.keys, *pickle.loads(found[0]["field"]), model.document)
+
+
+def document_weights(texts: DataFrame, model: Model, share: np.ndarray) -> np.ndarray:
+    """Weights of the document features in the score, fitted in one task on the features of each text."""
+
+    def features(batches):
+        for batch in batches:
+            for first, rows in text_slices(batch.column(3)):
+                data, starts, ends, counts = words_of(rows)
+                marginal, _, _ = forward_backward(model.potentials(feature_hashes(data, starts, ends)), model.transition, firsts(counts))
+                found = document_features(marginal, counts)
+                of_rows = [batch.column(i).slice(first, len(rows)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*of_rows, *(pa.array(found[:, i]) for i in range(4))], names=["doc_id", "draw", "toxic", "a", "b", "c", "d"])
 
     def run(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("draw", "ascending"), ("doc_id", "ascending")])
-        chosen, size = [], 0
-        for x in rows.column("text").cast(pa.large_binary()):
-            if size > TRAIN_WORDS:
-                break
-            chosen.append(x.as_py())
-            size += len(chosen[-1]) // 6 + 1
-        model = fit(chosen, rows.column("toxic").to_numpy()[: len(chosen)])
-        return pa.table({"model": pa.array([pickle.dumps(model)], pa.binary())})
-
-    found = texts.groupBy(F.lit(1).alias("all")).applyInArrow(run, "model binary").collect()
-    return pickle.loads(found[0]["model"]) if found else None
+        toxic = rows.column("toxic").to_numpy()
+        beta = logistic(np.stack([rows.column(c).to_numpy() for c in "abcd"], 1), toxic, share[toxic])
+        return pa.table({"beta": pa.array([beta.tolist()], pa.list_(pa.float64()))})
+
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    found = texts.select("doc_id", "draw", "toxic", "text").mapInArrow(features, f"doc_id {id_type}, draw long, toxic long, a double, b double, c double, d double")
+    return np.array(found.groupBy(F.lit(1).alias("all")).applyInArrow(run, "beta array<double>").collect()[0]["beta"])
 
 
 def score_documents(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -338,6 +338,79 @@ def test_toxicity(spark):
     assert toxicity.train(docs_, labels_.filter("toxic = 0")) is None
 
 
+def toxic_corpus(n, toxic):
+    """Documents 0 to n - 1 of 40 words, those in ``toxic`` with two toxic ones, and their labels."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(n):
+        text = rng.choice([f"word{j}" for j in range(300)], 40).tolist()
+        if i in toxic:
+            text[7], text[20] = "Vilegrub", "vilesome"
+        rows.append((i, " ".join(text)))
+    return rows, [(i, int(i in toxic)) for i in range(n)]
+
+
+def in_draw_order(spark, n):
+    from pyspark.sql import functions as F
+
+    ids = spark.range(n).filter(~toxicity.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id")
+    return [r.id for r in ids.collect()]
+
+
+def test_toxicity_reads_rows_after_a_very_long_text(spark):
+    order = in_draw_order(spark, 300)
+    rows, labels = toxic_corpus(300, set(order[1:60:3]))
+    rows[order[0]] = (order[0], "harmless words " * 1_300_000)  # 19.5 MB, drawn first
+    docs_, labels_ = spark.createDataFrame(rows, "doc_id long, text string").repartition(8), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs_, labels_)
+    got = {r.doc_id for r in toxicity.score_documents(docs_, model).filter("score >= 0.7").collect()}
+    assert got == set(order[1:60:3])
+
+
+def test_toxicity_draws_every_label_value(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_ROWS", 100)
+    order = in_draw_order(spark, 900)
+    rows, labels = toxic_corpus(900, set(order[-4:]))  # not among the first 100 drawn
+    docs_, labels_ = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs_, labels_)
+    got = {r.doc_id for r in toxicity.score_documents(docs_, model).filter("score >= 0.7").collect()}
+    assert got == set(order[-4:])
+
+
+def test_toxicity_without_toxic_texts_is_an_error(spark):
+    rows, labels = toxic_corpus(60, {59})
+    docs_, labels_ = spark.createDataFrame(rows[:59], "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    with pytest.raises(ValueError, match="not held out"):
+        toxicity.train(docs_, labels_)
+
+
+def test_slopes_of_runs_match_those_of_words():
+    rng = np.random.default_rng(6)
+    counts, toxic = np.array([40, 0, 1, 300, 90, 7]), np.array([1, 0, 1, 0, 1, 0])
+    hits = [(rng.integers(0, max(n, 1), n // 9), rng.integers(0, 3, n // 9)) for n in counts.tolist()]
+    at = np.concatenate([b + h[0] for b, h in zip(np.cumsum(counts) - counts, hits)])
+    feature, first = np.concatenate([h[1] for h in hits]), toxicity.firsts(counts)
+    gold = np.zeros(counts.sum())
+    gold[at] = 1
+    gold *= np.repeat(toxic, counts)
+    inner, theta = np.flatnonzero(~first), np.zeros(8)
+    theta[3] = -2
+    mean, square = np.zeros(8), np.zeros(8)
+    for r in range(1, 61):
+        transition, potential = np.exp(theta[-4:]).reshape(2, 2), np.full(len(gold), theta[3])
+        np.add.at(potential, at, theta[feature])
+        marginal, ahead, back = toxicity.forward_backward(potential, transition, first)
+        joint = ahead[inner - 1][:, :, None] * transition * back[inner][:, None, :]
+        joint = (joint / joint.sum((1, 2), keepdims=True)).sum(0) - np.bincount((gold[inner - 1] * 2 + gold[inner]).astype(int), minlength=4).reshape(2, 2)
+        error = marginal - gold
+        slope = np.concatenate([np.bincount(feature, error[at], 3), [error.sum()], joint.ravel()]) / gold.sum() + 1e-4 * theta
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
+        theta -= 0.2 * (mean / (1 - 0.9**r)) / (np.sqrt(square / (1 - 0.99**r)) + 1e-8)
+    weights, bias, transition = toxicity.fit_field(counts, toxic, hits, 3)
+    assert np.allclose(weights, theta[:3], atol=1e-6) and bias == pytest.approx(theta[3], abs=1e-6)
+    assert np.allclose(transition.ravel(), np.exp(theta[4:]), atol=1e-6)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(600, 8)) * rng.random((600, 1))
