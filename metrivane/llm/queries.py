@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from metrivane.llm import ann, bpe_chunks, exact_dedup, jaccard_join, packing, pii, token_files, toxicity, url_filter, warc
+from metrivane.llm import (
+    alignment, ann, bpe_chunks, exact_dedup, jaccard_join, packing, phrases, pii, token_counts, token_files, toxicity, url_filter, warc,
+)
 
 QUERIES = {
     "op1_ngram_jaccard": jaccard_join.op1_ngram_jaccard,
@@ -15,9 +17,13 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_warc": warc.op9_warc,
     "op10_pii": pii.op10_pii,
+    "op11_phrases": phrases.op11_phrases,
+    "op12_token_counts": token_counts.op12_token_counts,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLE = {
     "op8_exact_dedup": exact_dedup.SQL,
     "op9_warc": warc.SQL,
+    "op11_phrases": phrases.SQL,
 }
