@@ -22,8 +22,8 @@ from metrivane.llm.tokens import LONGEST, span_hashes
 
 LIMIT = 2048
 KEPT = 8192  # counters of a summary
-WAYS = 64  # summaries that are merged into one
-LEVELS = 4  # times that this is done: enough for WAYS ** LEVELS tasks
+WAYS = 8  # summaries that are merged into one
+LEVELS = 7  # times that this is done: enough for WAYS ** LEVELS tasks
 BROADCAST_SLOTS = 16  # log2 of the slots of the broadcast table: 9 bytes each
 WORKER_SLOTS = 21  # and of a worker's cache
 SLICE = 1 << 20  # bytes worked on at a time
