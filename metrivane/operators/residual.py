@@ -1,21 +1,18 @@
 """Expected values from a model per group: standardised ridge, or boosted trees.
 
-``fit_ridge`` reads the training rows once.  Each task reduces its rows to a
-count, a mean vector and a co-moment matrix per group; those small partials are
-merged in two levels and solved per group.  What is shuffled is p x p numbers per
-task and group, never rows, so a group holding most of the data is no hot spot.
-Scoring is a native expression over the joined coefficients.
+The ridge model is fitted from additive moments.  A grouping-sets aggregate gives, for every group, the sums of products of the
+numeric features, their sums by one-hot member, and the counts of pairs of members that occur together; a one-hot
+member is a key there, never a column.  Only these sparse moments are shuffled, and one task per group solves its
+normal equations from them, by conjugate gradients where there are many members.  Scoring joins the members' weights.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +23,7 @@ from metrivane.operators.medians import exact_median
 from metrivane.session import stage
 
 NUMERIC = ("moving_baseline", "days_since_start", "day_of_week", "month")
-MAX_DATES = 100_000  # distinct dates held on the driver; 270 years of days
-MAX_FEATURES = 2_000  # a p x p matrix must fit a task; beyond it fitting raises
-MERGE_WAYS = 32
+DENSE = 1_000  # features up to which the normal equations are solved directly
 
 
 @dataclass(frozen=True)
@@ -39,11 +34,7 @@ class Features:
     split: object  # first date that is no training date
     fill: float | None  # median used where the baseline is NULL
     numeric: tuple[str, ...]
-    vocabulary: dict[str, tuple[str, ...]]  # one-hot columns by dimension
-
-    @property
-    def size(self) -> int:
-        return len(self.numeric) + sum(len(v) for v in self.vocabulary.values())
+    dims: tuple[str, ...]  # dimensions whose members are one-hot features
 
 
 def split_date(df: DataFrame, fraction: float) -> DataFrame:
@@ -62,183 +53,200 @@ def split_date(df: DataFrame, fraction: float) -> DataFrame:
 def describe_features(
     df: DataFrame, settings: Settings, numeric: tuple[str, ...] = NUMERIC, one_hot: tuple[str, ...] | None = None
 ) -> Features:
-    """Dates, imputation value and vocabularies.
+    """Dates, imputation value and dimensions: three scalars reach the driver.
 
     A dimension that is part of the model group is constant within it and gets
     coefficient 0, so it is left out.  Label columns are never read.
     """
     cfg = settings.detector
     dims = [d for d in settings.dimensions if d not in cfg.group_columns] if one_hot is None else list(one_hot)
-    # Distinct dates and members in one pass; dates are bounded by the calendar, members by the check.
-    pairs = [F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v")) for c in ["date", *dims]]
-    cells = df.select(F.inline(F.array(*pairs))).where(F.col("v").isNotNull()).groupBy("k", "v").count()
-    found = cells.select("k", "v").limit(MAX_DATES + MAX_FEATURES + 1).collect()
-    listed = {c: sorted(row["v"] for row in found if row["k"] == c) for c in ["date", *dims]}
-    size = sum(len(listed[d]) for d in dims)
-    if size > MAX_FEATURES or len(listed["date"]) > MAX_DATES:
-        raise ValueError(
-            f"more than {MAX_FEATURES} one-hot columns or {MAX_DATES} dates: "
-            "fit at a finer grain by adding the large dimensions to group_columns"
-        )
-    vocabulary = {d: tuple(listed[d]) for d in dims}
-    dates = [dt.date.fromisoformat(v) for v in listed["date"]]
-    at = max(1, min(len(dates) - 1, math.floor(len(dates) * cfg.train_fraction)))
-    start, split = (dates[0] if dates else None), (dates[at] if at < len(dates) else None)
+    dates = split_date(df, cfg.train_fraction).first()
     fill = None
     if "moving_baseline" in numeric:
         row = exact_median(df, [], "moving_baseline").first()
         fill = row[0] if row else None
-    return Features(start, split, fill, tuple(numeric), vocabulary)
+    return Features(dates["start"], dates["split"], fill, tuple(numeric), tuple(dims))
 
 
-def numeric_columns(f: Features) -> dict:
+def numeric_columns(f: Features) -> dict[str, Column]:
     exprs = {
         "moving_baseline": F.coalesce("moving_baseline", F.lit(f.fill).cast("double")),
         "days_since_start": F.datediff("date", F.lit(f.start)).cast("double"),
         "day_of_week": F.weekday("date").cast("double"),
         "month": F.month("date").cast("double"),
     }
-    return {name: exprs[name] for name in f.numeric}
+    return {name: F.coalesce(exprs[name], F.lit(0.0)) for name in f.numeric}
+
+
+def training_rows(f: Features) -> Column:
+    return (F.col("date") < F.lit(f.split)) & F.col("actual_value").isNotNull()
+
 
+def moments(df: DataFrame, f: Features, cfg: DetectorConfig) -> DataFrame:
+    """Sparse moments of the training rows: per group one row without members (i and j NULL), one per member (j NULL)
+    and one per pair of members of different dimensions that occur together.
 
-def feature_array(f: Features):
-    """The feature vector as ``array<double>``: numeric columns, then one-hot members."""
-    parts = list(numeric_columns(f).values())
-    for dim, members in f.vocabulary.items():
-        parts += [(F.col(dim) == m).cast("double") for m in members]
-    return F.array(*[F.coalesce(p, F.lit(0.0)) for p in parts])
+    n counts rows.  Numeric features and the target are taken from their group's means, which the first row carries;
+    s are their sums, q the sums of their products.
+    """
+    groups, k = list(cfg.group_columns), len(f.numeric)
+    train = df.where(training_rows(f)).select(
+        *groups, *f.dims, F.array(*numeric_columns(f).values(), F.col("actual_value").cast("double")).alias("_z")
+    )
+    one = train.groupBy(*groups).agg(F.array(*[F.avg(F.col("_z")[i]) for i in range(k + 1)]).alias("_mean"))
+    keyed = train.select(F.struct(*groups).alias("_group"), *f.dims, "_z")
+    means = stage(one.select(F.struct(*groups).alias("_of"), "_mean"))
+    rows = keyed.join(hinted(means), F.col("_group").eqNullSafe(F.col("_of"))).select(
+        "_group", *f.dims, "_mean", F.zip_with("_z", "_mean", lambda a, b: a - b).alias("_z")
+    )
+    sets = [(), *[(d,) for d in f.dims], *[(a, b) for i, a in enumerate(f.dims) for b in f.dims[i + 1 :]]]
+    products = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    summed = rows.groupingSets([["_group", *s] for s in sets], "_group", *f.dims).agg(
+        F.grouping_id().alias("_set"),
+        F.count("*").cast("double").alias("n"),
+        F.array(*[F.sum(F.col("_z")[i]) for i in range(k + 1)]).alias("s"),
+        F.array(*[F.sum(F.col("_z")[i] * F.col("_z")[j]) for i, j in products]).alias("q"),
+        F.first("_mean").alias("mean"),
+    )
+    first, second = F.lit(None).cast("string"), F.lit(None).cast("string")
+    places: list[Column] = [F.lit(None).cast("int")] * 2
+    for s in sets[1:]:
+        here = F.col("_set") == sum(1 << (len(f.dims) - 1 - i) for i, d in enumerate(f.dims) if d not in s)
+        at = [f.dims.index(d) for d in s]
+        first = F.when(here, F.col(s[0]).cast("string")).otherwise(first)
+        places[0] = F.when(here, F.lit(at[0])).otherwise(places[0])
+        if len(s) == 2:
+            second = F.when(here, F.col(s[1]).cast("string")).otherwise(second)
+            places[1] = F.when(here, F.lit(at[1])).otherwise(places[1])
+    plain = F.col("_set") == (1 << len(f.dims)) - 1
+    found = summed.select(
+        "_group.*", places[0].alias("dim_i"), first.alias("i"), places[1].alias("dim_j"), second.alias("j"),
+        "n", "s", F.when(plain, F.col("q")).alias("q"), F.when(plain, F.col("mean")).alias("mean"),
+    )
+    # a missing member is no feature
+    whole = (F.col("dim_i").isNull() | F.col("i").isNotNull()) & (F.col("dim_j").isNull() | F.col("j").isNotNull())
+    return found.where(whole)
 
 
 def fit_ridge(df: DataFrame, f: Features, cfg: DetectorConfig) -> DataFrame:
-    """One row per group: n (training rows), y_mean, means and weights (arrays)."""
+    """Per group one row without dim (n_train, level: the prediction where every feature is 0, weights of the numeric
+    features) and one per member: dim (its place in ``f.dims``), member, weight.
+
+    A task holds the sparse moments of one group, which grow with its members and the pairs of them that occur.
+    """
     groups = list(cfg.group_columns)
-    train = df.where((F.col("date") < F.lit(f.split)) & F.col("actual_value").isNotNull())
-    train = train.select(*groups, feature_array(f).alias("x"), F.col("actual_value").cast("double").alias("y"))
-    keys = [train.schema[g] for g in groups]
-    moments = [
-        T.StructField("n", T.DoubleType()),
-        T.StructField("mean", T.ArrayType(T.DoubleType())),
-        T.StructField("m2", T.ArrayType(T.DoubleType())),
-    ]
-    partials = train.mapInPandas(_accumulator(groups), T.StructType([*keys, T.StructField("part", T.IntegerType()), *moments]))
-    merged = partials.groupBy(*groups, "part").applyInPandas(_merger(groups), T.StructType([*keys, *moments]))
-    solved = [
+    found = moments(df, f, cfg)
+    model = [
+        T.StructField("dim", T.IntegerType()),
+        T.StructField("member", T.StringType()),
+        T.StructField("weight", T.DoubleType()),
         T.StructField("n_train", T.DoubleType()),
-        T.StructField("y_mean", T.DoubleType()),
-        T.StructField("x_mean", T.ArrayType(T.DoubleType())),
+        T.StructField("level", T.DoubleType()),
         T.StructField("weights", T.ArrayType(T.DoubleType())),
     ]
-    return merged.groupBy(*groups).applyInPandas(_solver(groups, float(cfg.ridge_alpha)), T.StructType([*keys, *solved]))
-
-
-# The three functions below return closures over numpy/pandas only, so executors
-# need no copy of this package.
-
-
-def _accumulator(groups: list[str]):
-    ways = MERGE_WAYS
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        context = TaskContext.get()
-        part = (context.partitionId() if context else 0) % ways
-        held: dict = {}
-
-        def rows():
-            out = [(*k, part, n, mean.tolist(), m2.ravel().tolist()) for k, (n, mean, m2) in held.items()]
-            held.clear()
-            return pd.DataFrame(out, columns=[*groups, "part", "n", "mean", "m2"])
-
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            z = np.column_stack([np.vstack(pdf["x"].to_numpy()), pdf["y"].to_numpy(dtype=float)])
-            for key, index in pdf.groupby(groups, dropna=False, sort=False).indices.items():
-                key = key if isinstance(key, tuple) else (key,)
-                block = z[index]
-                n, mean = float(len(block)), block.mean(axis=0)
-                centred = block - mean
-                m2 = centred.T @ centred
-                if key in held:  # merge two sets of moments
-                    n0, mean0, m20 = held[key]
-                    d = mean - mean0
-                    m2 = m20 + m2 + np.outer(d, d) * (n0 * n / (n0 + n))
-                    mean = mean0 + d * (n / (n0 + n))
-                    n = n0 + n
-                held[key] = (n, mean, m2)
-            if len(held) * z.shape[1] ** 2 > 4_000_000:  # keep a task's memory bounded
-                yield rows()
-        if held:
-            yield rows()
-
-    return run
-
-
-def _merger(groups: list[str]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        n, mean, m2 = 0.0, None, None
-        for k, mk, vk in zip(pdf["n"], pdf["mean"], pdf["m2"]):
-            mk = np.asarray(mk, dtype=float)
-            vk = np.asarray(vk, dtype=float)
-            if mean is None:
-                n, mean, m2 = k, mk, vk
-                continue
-            d = mk - mean
-            m2 = m2 + vk + np.outer(d, d).ravel() * (n * k / (n + k))
-            mean = mean + d * (k / (n + k))
-            n += k
-        head = [pdf[g].iloc[0] for g in groups]
-        return pd.DataFrame([[*head, n, mean.tolist(), m2.tolist()]], columns=[*groups, "n", "mean", "m2"])
-
-    return run
-
-
-def _solver(groups: list[str], alpha: float):
-    merge = _merger(groups)
+    schema = T.StructType([*[found.schema[g] for g in groups], *model])
+    return found.groupBy(*groups).applyInPandas(_solver(groups, len(f.numeric), float(cfg.ridge_alpha), DENSE), schema)
+
+
+def _solver(groups: list[str], k: int, alpha: float, dense: int):
+    # closures over numpy and pandas only, so executors need no copy of this package
+
+    def conjugate_gradients(times, target):
+        """The solution of ``times(x) = target`` that the zero vector leads to; of many, the smallest one."""
+        x, r = np.zeros(len(target)), target.copy()
+        p, size = r.copy(), float(r @ r)
+        least = 1e-26 * size
+        for _ in range(20 * len(target)):
+            if size <= least:
+                break
+            ap = times(p)
+            step = size / float(p @ ap)
+            x, r = x + step * p, r - step * ap
+            p, size = r + p * (float(r @ r) / size), float(r @ r)
+        return x
+
+    def solved(means, rows, n, centred, counts, sums, first, second, together):
+        """Weights of the numeric features and of the members."""
+        m = len(counts)
+        cross = sums[:, :k] - counts[:, None] * (rows[:k] / n)
+        target = np.concatenate([centred[:k, k], sums[:, k] - counts * rows[k] / n])
+        deviation = np.sqrt(np.concatenate([np.maximum(np.diag(centred)[:k], 0.0), counts * (n - counts) / n]) / n)
+        scale = np.concatenate([np.abs(means[:k]), np.ones(m)])
+        kept = deviation > 1e-12 * np.maximum(scale, 1.0)  # a constant feature has weight 0
+        std = np.where(kept, deviation, 1.0)
+
+        if k + m <= dense:
+            gram = np.zeros((k + m, k + m))
+            gram[:k, :k], gram[k:, :k], gram[:k, k:] = centred[:k, :k], cross, cross.T
+            gram[k:, k:] = np.diag(counts) - np.outer(counts, counts) / n
+            gram[k + first, k + second] += together
+            gram[k + second, k + first] += together
+            gram = (gram / np.outer(std, std))[np.ix_(kept, kept)] + alpha * np.eye(int(kept.sum()))
+            beta = None
+            if alpha > 0:  # without a penalty, one-hot columns make the system singular
+                try:
+                    beta = np.linalg.solve(gram, (target / std)[kept])
+                except np.linalg.LinAlgError:
+                    pass
+            if beta is None:
+                beta = np.linalg.lstsq(gram, (target / std)[kept], rcond=None)[0]
+        else:
+
+            def times(x):
+                v = np.zeros(k + m)
+                v[kept] = x / std[kept]
+                a, b = v[:k], v[k:]
+                out = np.empty(k + m)
+                out[:k] = centred[:k, :k] @ a + cross.T @ b
+                out[k:] = cross @ a + counts * b - counts * (counts @ b / n)
+                out[k:] += np.bincount(first, together * b[second], m) + np.bincount(second, together * b[first], m)
+                return out[kept] / std[kept] + alpha * x
+
+            beta = conjugate_gradients(times, (target / std)[kept])
+        weights = np.zeros(k + m)
+        weights[kept] = beta / std[kept]
+        return weights
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = merge(pdf).iloc[0]
-        n, mean = float(total["n"]), np.asarray(total["mean"])
-        m2 = np.asarray(total["m2"]).reshape(len(mean), len(mean))
-        p = len(mean) - 1
-        std = np.sqrt(np.diag(m2)[:p] / n)
-        # a column that is constant up to rounding is left unscaled
-        std[std <= 1e-12 * np.maximum(np.abs(mean[:p]), 1.0)] = 1.0
-        gram = m2[:p, :p] / np.outer(std, std) + alpha * np.eye(p)
-        target = m2[:p, p] / std
-        beta = None
-        if alpha > 0:  # without a penalty, collinear one-hot columns make the system singular
-            try:
-                beta = np.linalg.solve(gram, target)
-            except np.linalg.LinAlgError:
-                pass
-        if beta is None:
-            beta = np.linalg.lstsq(gram, target, rcond=None)[0]
-        head = [total[g] for g in groups]
-        row = [*head, n, float(mean[p]), mean[:p].tolist(), (beta / std).tolist()]
-        return pd.DataFrame([row], columns=[*groups, "n_train", "y_mean", "x_mean", "weights"])
+        plain = pdf[pdf["dim_i"].isna()].iloc[0]
+        members = pdf[pdf["dim_i"].notna() & pdf["dim_j"].isna()]
+        pairs = pdf[pdf["dim_j"].notna()]
+        n, rows = float(plain["n"]), np.array(plain["s"], float)
+        means = np.array(plain["mean"], float)
+        centred = np.zeros((k + 1, k + 1))
+        centred[np.triu_indices(k + 1)] = plain["q"]
+        centred = centred + np.triu(centred, 1).T - np.outer(rows, rows) / n
+        place = pd.MultiIndex.from_arrays([members["dim_i"].astype(int), members["i"]])
+        first = place.get_indexer(pd.MultiIndex.from_arrays([pairs["dim_i"].astype(int), pairs["i"]]))
+        second = place.get_indexer(pd.MultiIndex.from_arrays([pairs["dim_j"].astype(int), pairs["j"]]))
+        counts = members["n"].to_numpy(float)
+        sums = np.array(members["s"].tolist(), float).reshape(len(members), k + 1)
+        weights = solved(means, rows, n, centred, counts, sums, first, second, pairs["n"].to_numpy(float))
+        shift = means + rows / n
+        level = shift[k] - shift[:k] @ weights[:k] - counts @ weights[k:] / n
+        head = [plain[g] for g in groups]
+        out = [[*head, None, None, None, n, level, weights[:k].tolist()]]
+        out += [[*head, d, i, w, None, None, None] for d, i, w in zip(members["dim_i"].astype(int), members["i"], weights[k:])]
+        return pd.DataFrame(out, columns=[*groups, "dim", "member", "weight", "n_train", "level", "weights"])
 
     return run
 
 
 def score_ridge(df: DataFrame, model: DataFrame, f: Features, cfg: DetectorConfig) -> DataFrame:
     """Add ``predicted_value``; groups with too few training rows predict their baseline,
-    rows without a group predict nothing."""
+    rows without a group predict nothing.  A member without training rows has no weight."""
     groups = list(cfg.group_columns)
-    level = F.aggregate(F.zip_with("x_mean", "weights", lambda m, w: m * w), F.lit(0.0), lambda a, v: a - v)
-    base = model.select(*groups, "n_train", "weights", (F.col("y_mean") + level).alias("_level"))
+    base = model.where(F.col("dim").isNull()).select(*groups, F.col("n_train").alias("_n"), F.col("level").alias("_level"), F.col("weights").alias("_w"))
     joined = df.join(hinted(base), groups, "left")
-    fitted, at = F.col("_level"), 0
-    for expr in numeric_columns(f).values():
-        fitted = fitted + expr * F.get("weights", F.lit(at))
-        at += 1
-    for dim, members in f.vocabulary.items():
-        position = F.array_position(F.lit(list(members)), F.col(dim)).cast("int")  # 0: not a member
-        hit = F.when(position > 0, F.get("weights", position + (at - 1)))
-        fitted = fitted + F.coalesce(hit, F.lit(0.0))
-        at += len(members)
-    enough = F.coalesce(F.col("n_train") >= cfg.min_train_rows, F.lit(False))
+    fitted = F.col("_level")
+    for at, expr in enumerate(numeric_columns(f).values()):
+        fitted = fitted + expr * F.col("_w")[at]
+    for at, dim in enumerate(f.dims):
+        own = model.where(F.col("dim") == at)
+        own = own.select(*groups, F.col("member").alias(f"_m{at}"), F.col("weight").alias(f"_w{at}"))
+        joined = joined.withColumn(f"_m{at}", F.col(dim).cast("string")).join(hinted(own), [*groups, f"_m{at}"], "left")
+        fitted = fitted + F.coalesce(f"_w{at}", F.lit(0.0))
+    enough = F.coalesce(F.col("_n") >= cfg.min_train_rows, F.lit(False))
     predicted = F.when(all_present(groups), F.when(enough, fitted).otherwise(F.col("moving_baseline")))
     return joined.select(*df.columns, predicted.alias("predicted_value"))
 
@@ -253,51 +261,10 @@ def predict_ridge(
     return score_ridge(df, model, f, settings.detector)
 
 
-def predict_gbt(df: DataFrame, settings: Settings, parallelism: int = 4) -> DataFrame:
-    """Boosted trees per group; each group is one distributed fit, so groups must be few."""
-    from functools import reduce
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.regression import GBTRegressor
-
-    cfg = settings.detector
-    f = describe_features(df, settings)
-    groups = list(cfg.group_columns)
-    counts = df.groupBy(*groups).agg(
-        F.count_if((F.col("date") < F.lit(f.split)) & F.col("actual_value").isNotNull()).alias("_n")
-    )
-    listed = counts.limit(201).collect()
-    if len(listed) > 200:
-        raise ValueError("boosted trees fit one model per group: use the ridge model for more than 200 groups")
-    rows = df.withColumn("_x", array_to_vector(feature_array(f)))
-    trees = GBTRegressor(
-        featuresCol="_x",
-        labelCol="actual_value",
-        predictionCol="predicted_value",
-        maxIter=cfg.trees,
-        maxDepth=cfg.depth,
-        stepSize=cfg.learning_rate,
-        subsamplingRate=cfg.subsample,
-        featureSubsetStrategy=str(cfg.colsample),
-        seed=cfg.seed,
-    )
-
-    def score(row):
-        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.lit(row[g])) for g in groups])
-        part = rows.where(same)
-        if row["_n"] < cfg.min_train_rows:
-            return part.withColumn("predicted_value", F.col("moving_baseline"))
-        train = part.where((F.col("date") < F.lit(f.split)) & F.col("actual_value").isNotNull())
-        return trees.fit(train).transform(part)
-
-    with ThreadPool(parallelism) as pool:  # independent Spark jobs, as in cross-validation
-        scored = pool.map(score, listed)
-    return reduce(DataFrame.unionByName, scored).select(*df.columns, "predicted_value")
-
-
 def predict(df: DataFrame, settings: Settings) -> DataFrame:
-    models = {"ridge": predict_ridge, "gbt": predict_gbt}
+    from metrivane.operators.boosting import predict_trees
+
+    models = {"ridge": predict_ridge, "gbt": predict_trees}
     if settings.detector.model not in models:
         raise ValueError(f"Unknown residual model: {settings.detector.model}")
     return models[settings.detector.model](df, settings)

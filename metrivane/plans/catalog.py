@@ -28,6 +28,7 @@ from metrivane.operators import (
     residual,
     windows,
 )
+from metrivane.operators.joins import with_one_row
 from metrivane.plans import reports, warehouse
 from metrivane.session import stage
 from metrivane.sources import panels, scans, sinks
@@ -407,10 +408,14 @@ def model_features(spark, folder):
     """Numeric features and the one-hot part of the feature frame."""
     rows = stage(monitored_events(spark, folder))
     f = residual.describe_features(rows, EVENTS)
-    hot = F.slice(residual.feature_array(f), len(f.numeric) + 1, f.size)
-    text = F.array_join(F.transform(hot, lambda v: v.cast("int").cast("string")), "")
+    members = [F.array_sort(F.collect_set(d)).alias(f"_{d}") for d in f.dims]  # three of each
+
+    def bit(dim):
+        return F.transform(f"_{dim}", lambda m: (F.col(dim) == m).cast("int").cast("string"))
+
     numeric = [e.alias(f"feature_{n}") for n, e in residual.numeric_columns(f).items()]
-    return shown(rows.select("date", *EVENTS.dimensions, *numeric, text.alias("one_hot")))
+    one_hot = F.array_join(F.concat(*[bit(d) for d in f.dims]), "").alias("one_hot")
+    return shown(with_one_row(rows, rows.agg(*members)).select("date", *EVENTS.dimensions, *numeric, one_hot))
 
 
 def univariate(spark, folder, settings=EVENTS) -> DataFrame:
@@ -450,6 +455,14 @@ def residual_ridge_full(spark, folder):
     return shown(rows.select("date", *LINES.dimensions, *RESIDUAL))
 
 
+@query
+def residual_boosted_stump(spark, folder):
+    """One round of one split on all rows and features: what every later round repeats."""
+    settings = replace(EVENTS, detector=replace(EVENTS.detector, model="gbt", trees=1, depth=1, learning_rate=0.5, subsample=1.0, colsample=1.0))
+    rows = residual.predict(stage(monitored_events(spark, folder)), settings)
+    return shown(rows.select("date", *EVENTS.dimensions, "actual_value", "predicted_value"))
+
+
 @query
 def residual_boosted_trees(spark, folder):
     settings = replace(EVENTS, detector=replace(EVENTS.detector, model="gbt"))

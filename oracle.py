@@ -25,7 +25,8 @@ def sql(name: str, select: str, *deps: str) -> None:
     for d in deps:
         need(d)
     head = ", ".join(f"{n} AS ({CTES[n][1]})" for n in order)
-    ORACLE[name] = f"WITH {head} {select}" if head else select
+    recursive = "RECURSIVE " if any("UNION ALL SELECT /* step */" in CTES[n][1] for n in order) else ""
+    ORACLE[name] = f"WITH {recursive}{head} {select}" if head else select
 
 
 def r(x: str, digits: int = 6, name: str | None = None) -> str:
@@ -304,6 +305,70 @@ SELECT *, residual_severity <> 'NORMAL' AS residual_anomaly FROM (SELECT *,
 _RES = "residual_anomaly, residual_severity"
 sql("residual_ridge_univariate", f"SELECT {ED}, {rs('predicted_value residual residual_percent')}, {_RES} FROM ere", "ere")
 sql("residual_ridge_per_series", f"SELECT {OD}, {r('predicted_value', 3)} FROM orp", "orp")
+
+
+def define_full_ridge(p: str, dims: tuple[str, ...], alpha: float = 1.0) -> None:
+    """All features: the normal equations of every KPI as a list of lists, solved by Gauss-Jordan steps."""
+    hot = ", ".join(f"{{'f': '{d}=' || {d}, 'v': 1.0::DOUBLE}}" for d in dims)
+    cte(f"{p}x", f"""SELECT {p}m.*, row_number() OVER () AS rid, date < split AND actual_value IS NOT NULL AS train,
+  COALESCE(moving_baseline, (SELECT MEDIAN(moving_baseline) FROM {p}m)) AS x1, CAST(date - start AS DOUBLE) AS x2,
+  CAST(isodow(date) - 1 AS DOUBLE) AS x3, CAST(month(date) AS DOUBLE) AS x4 FROM {p}m, {p}s""", f"{p}m", f"{p}s")
+    centred = ", ".join(f"x{i} - AVG(x{i}) FILTER (train) OVER k AS c{i}" for i in range(1, 5))
+    cte(f"{p}c", f"SELECT *, {centred}, AVG(actual_value) FILTER (train) OVER k AS ybar FROM {p}x WINDOW k AS (PARTITION BY kpi_name)", f"{p}x")
+    numeric = ", ".join(f"{{'f': '#{i}', 'v': c{i}}}" for i in range(1, 5))
+    cte(f"{p}f", f"""SELECT rid, kpi_name, train, y, t.f AS f, t.v AS v FROM (
+  SELECT rid, kpi_name, train, actual_value - ybar AS y, UNNEST([{numeric}, {hot}]) AS t FROM {p}c)""", f"{p}c")
+    cte(f"{p}n", f"""SELECT kpi_name, f, ROW_NUMBER() OVER (PARTITION BY kpi_name ORDER BY f) AS spot, n, mu, sqrt(sq / n - mu * mu) AS sd, b - n * mu * yb AS b FROM (
+  SELECT kpi_name, f, n, yb, SUM(v) / n AS mu, SUM(v * v) AS sq, SUM(v * y) AS b FROM {p}f
+  JOIN (SELECT kpi_name, CAST(COUNT(*) AS DOUBLE) AS n, AVG(actual_value - ybar) AS yb FROM {p}c WHERE train GROUP BY 1) USING (kpi_name)
+  WHERE train GROUP BY kpi_name, f, n, yb) WHERE sqrt(greatest(sq / n - mu * mu, 0)) > 1e-9""", f"{p}f", f"{p}c")
+    cte(f"{p}g", f"""SELECT a.kpi_name, a.f AS fa, b.f AS fb, SUM(a.v * b.v) AS g FROM {p}f a JOIN {p}f b USING (rid)
+  WHERE a.train GROUP BY ALL""", f"{p}f")
+    cte(f"{p}w", f"""SELECT kpi_name, list(line ORDER BY spot) AS m FROM (
+  SELECT a.kpi_name, a.spot, list_concat(list((COALESCE(g, 0) - a.n * a.mu * b.mu) / (a.sd * b.sd) + CASE WHEN a.f = b.f THEN {alpha} ELSE 0 END ORDER BY b.spot),
+    list(DISTINCT a.b / a.sd)) AS line
+  FROM {p}n a JOIN {p}n b USING (kpi_name) LEFT JOIN {p}g g ON g.kpi_name = a.kpi_name AND fa = a.f AND fb = b.f GROUP BY 1, 2) GROUP BY 1""", f"{p}n", f"{p}g")
+    cte(f"{p}j", f"""SELECT kpi_name, 0 AS k, m FROM {p}w UNION ALL SELECT /* step */ kpi_name, k + 1,
+  list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN list_transform(r, lambda x: x / m[k + 1][k + 1])
+    ELSE list_transform(r, lambda x, j: x - r[k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END) FROM {p}j WHERE k < len(m)""", f"{p}w")
+    cte(f"{p}b", f"""SELECT n.kpi_name, n.f, n.mu, j.m[n.spot][len(j.m) + 1] / n.sd AS w
+  FROM {p}j j JOIN {p}n n ON n.kpi_name = j.kpi_name WHERE j.k = len(j.m)""", f"{p}j", f"{p}n")
+    cte(f"{p}p", f"""SELECT c.*, CASE WHEN (SELECT COUNT(*) FROM {p}c t WHERE t.train AND t.kpi_name = c.kpi_name) >= 8
+    THEN ybar + level + fit ELSE moving_baseline END AS predicted_value FROM {p}c c
+  JOIN (SELECT f.rid, COALESCE(SUM(f.v * b.w), 0.0) AS fit FROM {p}f f LEFT JOIN {p}b b USING (kpi_name, f) GROUP BY 1) USING (rid)
+  JOIN (SELECT kpi_name, -SUM(mu * w) AS level FROM {p}b GROUP BY 1) USING (kpi_name)""", f"{p}c", f"{p}f", f"{p}b")
+
+
+for _q, _from in (("lr", "l"),):
+    cte(f"{_q}m", f"SELECT * FROM {_from}m", f"{_from}m")
+    cte(f"{_q}s", f"SELECT * FROM {_from}s", f"{_from}s")
+define_full_ridge("lr", L_DIMS[1:])
+_l_adverse = case({k: v[2] for k, v in THRESHOLDS["l"].items()}, "NULL")
+cte("lre", f"""
+SELECT *, residual_severity <> 'NORMAL' AS residual_anomaly FROM (SELECT *,
+  CASE WHEN bad >= 0.40::DOUBLE THEN 'CRITICAL' WHEN bad >= 0.20::DOUBLE THEN 'WARNING' ELSE 'NORMAL' END AS residual_severity
+ FROM (SELECT *, CASE WHEN dir='higher_is_bad' THEN residual_percent WHEN dir='lower_is_bad' THEN -residual_percent END AS bad
+  FROM (SELECT *, actual_value - predicted_value AS residual, {_l_adverse} AS dir,
+    (actual_value - predicted_value) / NULLIF(predicted_value, 0) AS residual_percent FROM lrp)))""", "lrp")
+sql("residual_ridge_full", f"SELECT {LD}, {rs('predicted_value residual residual_percent')}, {_RES} FROM lre", "lre")
+cte("gx", """SELECT em.*, row_number() OVER () AS rid, date < split AND actual_value IS NOT NULL AS train,
+  COALESCE(moving_baseline, (SELECT MEDIAN(moving_baseline) FROM em)) AS x0, CAST(date - start AS DOUBLE) AS x1,
+  CAST(isodow(date) - 1 AS DOUBLE) AS x2, CAST(month(date) AS DOUBLE) AS x3 FROM em, es""", "em", "es")
+cte("gb", "SELECT kpi_name, AVG(actual_value) AS base, COUNT(*) AS n FROM gx WHERE train GROUP BY 1", "gx")
+cte("gf", """SELECT rid, kpi_name, train, g, t.f AS f, t.x AS x, t.m AS m FROM (SELECT rid, kpi_name, train, actual_value - base AS g,
+  UNNEST([{'f': 0, 'x': x0, 'm': NULL}, {'f': 1, 'x': x1, 'm': NULL}, {'f': 2, 'x': x2, 'm': NULL}, {'f': 3, 'x': x3, 'm': NULL},
+    {'f': 4, 'x': NULL, 'm': tier}, {'f': 5, 'x': NULL, 'm': band}]) AS t FROM gx JOIN gb USING (kpi_name))""", "gx", "gb")
+cte("gc", """SELECT DISTINCT kpi_name, f, d[CAST(ceil(i * len(d) / 32.0) AS INT)] AS v, NULL::VARCHAR AS m FROM (
+  SELECT kpi_name, f, list_sort(list(x)) AS d, UNNEST(range(1, 32)) AS i FROM gf WHERE train AND f < 4 GROUP BY 1, 2)
+UNION ALL SELECT DISTINCT kpi_name, f, NULL, m FROM gf WHERE train AND f >= 4""", "gf")
+cte("gs", """SELECT kpi_name, f, v, m, gl, nl, gr, nr, gl * gl / (nl + 1) + gr * gr / (nr + 1) - (gl + gr) * (gl + gr) / (nl + nr + 1) AS gain FROM (
+  SELECT c.kpi_name, c.f, c.v, c.m, SUM(g) FILTER (hit) AS gr, COUNT(*) FILTER (hit) AS nr, SUM(g) FILTER (NOT hit) AS gl, COUNT(*) FILTER (NOT hit) AS nl
+  FROM (SELECT c.*, r.g, CASE WHEN c.f < 4 THEN r.x > c.v ELSE r.m = c.m END AS hit FROM gc c JOIN gf r ON r.kpi_name = c.kpi_name AND r.f = c.f AND r.train) c
+  GROUP BY 1, 2, 3, 4) WHERE nl > 0 AND nr > 0""", "gc", "gf")
+cte("gt", "SELECT * FROM gs QUALIFY row_number() OVER (PARTITION BY kpi_name ORDER BY gain DESC, f, v, m DESC) = 1", "gs")
+sql("residual_boosted_stump", f"""SELECT {ED}, {r('actual_value')}, {r('p', name='predicted_value')} FROM (
+  SELECT x.*, base + 0.5 * CASE WHEN (t.f < 4 AND r.x > t.v) OR (t.f >= 4 AND r.m = t.m) THEN gr / (nr + 1) ELSE gl / (nl + 1) END AS p
+  FROM gx x JOIN gb USING (kpi_name) JOIN gt t USING (kpi_name) JOIN gf r ON r.rid = x.rid AND r.f = t.f)""", "gx", "gb", "gt", "gf")
 cte("emad", """
 SELECT kpi_name, med, MEDIAN(ABS(residual - med)) AS mad FROM ere JOIN
   (SELECT kpi_name, MEDIAN(residual) AS med FROM ere GROUP BY 1) USING (kpi_name) GROUP BY 1, 2""", "ere")

@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 import statistics
 
@@ -8,7 +9,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from metrivane.config import DIMENSIONS, DetectorConfig, Settings
-from metrivane.operators import anomaly, medians, monitoring, residual
+from metrivane.operators import anomaly, boosting, medians, monitoring, residual
+from metrivane.session import stage
 
 SPIKE = [100.0, 101.0, 99.0, 100.0, 102.0, 98.0, 101.0, 150.0]
 
@@ -121,8 +123,9 @@ def test_ridge_equals_the_closed_form_and_ignores_partitioning(spark):
         out = residual.score_ridge(part, residual.fit_ridge(part, f, cfg.detector), f, cfg.detector)
         results.append(out.orderBy("date", *DIMENSIONS).toPandas())
     assert np.allclose(results[0]["predicted_value"], results[1]["predicted_value"], atol=1e-8)
+    vocabulary = {d: sorted(results[0][d].unique()) for d in f.dims}
     for kpi, pdf in results[0].groupby("kpi_name"):
-        expected = closed_form(pdf, f.vocabulary, f.fill, f.start, f.split)
+        expected = closed_form(pdf, vocabulary, f.fill, f.start, f.split)
         assert np.allclose(pdf["predicted_value"], expected, atol=1e-8), kpi
 
 
@@ -133,7 +136,7 @@ def test_singular_system_gives_the_least_squares_fit(spark):
     out = residual.score_ridge(mon, residual.fit_ridge(mon, f, cfg.detector), f, cfg.detector).toPandas()
     x = [out["moving_baseline"].fillna(f.fill).to_numpy(float), np.array([(d - f.start).days for d in out["date"]], float),
          np.array([d.weekday() for d in out["date"]], float), np.array([d.month for d in out["date"]], float)]
-    x += [(out[d] == m).to_numpy(float) for d, ms in f.vocabulary.items() for m in ms]
+    x += [(out[d] == m).to_numpy(float) for d in f.dims for m in sorted(out[d].unique())]
     z = np.column_stack([np.ones(len(out)), *x])
     train = np.array([d < f.split for d in out["date"]])
     beta = np.linalg.lstsq(z[train], out["actual_value"].to_numpy(float)[train], rcond=None)[0]
@@ -143,7 +146,7 @@ def test_singular_system_gives_the_least_squares_fit(spark):
 def test_labels_are_never_features(spark):
     mon = monitoring.monitor(noisy_panel(spark))
     f = residual.describe_features(mon, Settings())
-    assert set(f.vocabulary) == set(DIMENSIONS[1:])
+    assert set(f.dims) == set(DIMENSIONS[1:])
     assert f.numeric == ("moving_baseline", "days_since_start", "day_of_week", "month")
 
 
@@ -187,11 +190,91 @@ def test_constant_residuals_have_no_score(spark):
     assert all(r.z is not None for r in out if r.g == "b")
 
 
+def wide_rows(spark, members=1500, days=20, seed=8):
+    """Many members of two dimensions, some missing, some seen only after the split."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(members):
+        region = None if i % 97 == 0 else f"r{i}"
+        level = rng.uniform(-20, 20)
+        for d in rng.sample(range(days), 4):
+            y = 50 + level + 3 * (i % 3) + 0.5 * d + rng.gauss(0, 1)
+            rows.append((DAY + dt.timedelta(days=d), "latency_ms", region, f"d{i % 3}", "Safari", "Email", "SMB", y, 40.0 + 0.7 * level))
+    rows.append((DAY + dt.timedelta(days=days), "latency_ms", "late", "d0", "Safari", "Email", "SMB", 60.0, None))
+    columns = ["date date", "kpi_name string", *[f"{d} string" for d in DIMENSIONS[1:]], "actual_value double", "moving_baseline double"]
+    return spark.createDataFrame(rows, ", ".join(columns))
+
+
+def test_ridge_of_many_members_by_conjugate_gradients(spark, monkeypatch):
+    cfg, df = Settings(), wide_rows(spark)
+    f = residual.describe_features(df, cfg)
+    out = residual.score_ridge(df, residual.fit_ridge(df, f, cfg.detector), f, cfg.detector).toPandas()
+    monkeypatch.setattr(residual, "DENSE", 10_000)
+    direct = residual.score_ridge(df, residual.fit_ridge(df, f, cfg.detector), f, cfg.detector).toPandas()
+    key = ["date", "region", "device_type", "actual_value"]
+    out, direct = (x.sort_values(key, na_position="first").reset_index(drop=True) for x in (out, direct))
+    assert np.allclose(out["predicted_value"], direct["predicted_value"], atol=1e-7)
+    train = out["date"] < f.split
+    vocabulary = {d: sorted(out[d][train].dropna().unique()) for d in f.dims}
+    expected = closed_form(out, vocabulary, f.fill, f.start, f.split)
+    assert sum(map(len, vocabulary.values())) > 1000
+    assert np.allclose(out["predicted_value"], expected, atol=1e-6)
+
+
+def test_ridge_of_several_groups_and_a_group_without_key(spark):
+    early = [(DAY + dt.timedelta(days=d), k, "EMEA", f"d{d % 2}", "Safari", "Email", "SMB", 10.0 * i + d, 5.0 + d) for i, k in enumerate(("a", "b", None)) for d in range(30)]
+    columns = ["date date", "kpi_name string", *[f"{d} string" for d in DIMENSIONS[1:]], "actual_value double", "moving_baseline double"]
+    df = spark.createDataFrame(early, ", ".join(columns))
+    out = residual.predict_ridge(df, Settings()).toPandas()
+    assert out["predicted_value"][out["kpi_name"].isna()].isna().all()
+    known = out[out["kpi_name"].notna()]
+    assert np.allclose(known["predicted_value"], known["actual_value"], atol=1.0)
+
+
+GBT = DetectorConfig(model="gbt", trees=4, depth=3, learning_rate=0.3, subsample=0.8, colsample=0.7)
+
+
 def test_boosted_trees_follow_the_series(spark):
-    cfg = Settings(detector=DetectorConfig(model="gbt", trees=3))
+    cfg = Settings(detector=DetectorConfig(model="gbt", trees=80))
     mon = monitoring.monitor(noisy_panel(spark, ("conversion_rate",), 40))
     out = residual.predict(mon, cfg).toPandas()
     assert len(out) == mon.count() and out["predicted_value"].notna().all()
+    mean_error = (out["actual_value"] - out["actual_value"].mean()).abs().mean()
+    assert (out["actual_value"] - out["predicted_value"]).abs().mean() < 0.4 * mean_error  # the noise alone is 0.3 of it
+
+
+def test_boosted_trees_are_the_same_in_tasks_and_in_rounds(spark):
+    cfg, df = Settings(detector=GBT), stage(wide_rows(spark, 120).unionByName(wide_rows(spark, 60, seed=3).withColumn("kpi_name", F.lit("b"))))
+    mixed = 120 * 4 + 1  # the first group is fitted in rounds, the second in a task
+    results = []
+    for rows, in_task in ((df, 10**6), (df.repartition(7), 0), (df.repartition(3), mixed - 1)):
+        out = boosting.predict_trees(rows, cfg, in_task).toPandas()
+        key = ["kpi_name", "date", "region", "device_type", "actual_value"]
+        results.append(out.sort_values(key, na_position="first")["predicted_value"].to_numpy())
+    assert len(np.unique(results[0])) > 20
+    assert (results[0] == results[1]).all() and (results[0] == results[2]).all()
+
+
+def test_boosted_trees_of_thousands_of_groups(spark):
+    rows = spark.range(5000 * 12).select(
+        F.date_add(F.lit(DAY), (F.col("id") % 12).cast("int")).alias("date"),
+        F.concat(F.lit("k"), F.floor(F.col("id") / 12)).alias("kpi_name"),
+        *[F.lit("x").alias(d) for d in DIMENSIONS[1:]],
+        (F.floor(F.col("id") / 12) + F.when(F.col("id") % 12 < 4, 0.0).otherwise(5.0)).alias("actual_value"),
+        F.lit(1.0).alias("moving_baseline"),
+    )
+    cfg = Settings(detector=DetectorConfig(model="gbt", trees=4, depth=1, learning_rate=1.0, subsample=1.0, colsample=1.0))
+    out = residual.predict(rows, cfg)
+    assert out.count() == 60_000
+    error = F.max(F.abs(F.col("predicted_value") - F.col("actual_value")))
+    assert out.agg(error).first()[0] < 0.1
+
+
+def test_boosted_trees_without_enough_rows(spark):
+    df = wide_rows(spark, 1, 5)
+    out = residual.predict(df, Settings(detector=GBT)).collect()
+    assert all(r.predicted_value == r.moving_baseline for r in out)
+    assert residual.predict(df.limit(0), Settings(detector=GBT)).count() == 0
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
