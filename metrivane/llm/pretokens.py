@@ -7,6 +7,8 @@ that holds any other byte is left whole, and so is one with the opening of a spe
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 
 SPACE, LETTER, DIGIT, OTHER = 0, 1, 2, 3
@@ -17,12 +19,23 @@ _KIND[0x41:0x5B] = LETTER
 _KIND[0x61:0x7B] = LETTER
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
+# the pattern of those rules (fixed value)
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # the endings behind an apostrophe that the tokenizer's pattern names (fixed values): s t m d, and re ve ll
 _ONE = np.zeros(256, bool)
 _ONE[np.frombuffer(b"stmd", np.uint8)] = True
 _TWO = tuple((x[0], x[1]) for x in (b"re", b"ve", b"ll"))
 
 
+def applies(path: str) -> bool:
+    """Whether a tokenizer file has the word vocabulary's rules."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+    return steps == ["NFC", "Replace", "Lowercase"] and cuts == PATTERN
+
+
 def _kinds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The kind of every byte, and whether it is one that only the library can judge."""
     kind = _KIND[data]

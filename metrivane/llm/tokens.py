@@ -10,13 +10,17 @@ from __future__ import annotations
 
 import base64
 import os
+from itertools import chain
 
 import numpy as np
 
+from metrivane.llm import pretokens
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LONGEST = 64  # bytes of a unit that may be cached; the hash of so few bytes has no built collisions
 WIDTH = 8  # ids of a cached unit at most
+LINE = 64  # pre-tokens that are encoded together
 PIECE = 2 << 20  # bytes worked on at a time
 
 _rng = np.random.default_rng(20240229)
@@ -99,7 +103,10 @@ def byte_pair_encoder(ranks: str):
 
 
 class UnitEncoder:
-    """Encodes lists of texts (bytes in UTF-8) as ``Tokenizer.encode(text, add_special_tokens=False)``."""
+    """Encodes lists of texts (bytes in UTF-8) as ``Tokenizer.encode(text, add_special_tokens=False)``.
+
+    For the word vocabulary the units are its pre-tokens in lower case, so that a word is known whatever stands around it.
+    """
 
     def __init__(self, path: str, ranks: str | None = None, log_slots: int = 21):
         from tokenizers import Tokenizer
@@ -113,18 +120,40 @@ class UnitEncoder:
         self.kept = np.zeros((1 << log_slots, WIDTH), np.uint16 if self.library.get_vocab_size() <= 65536 else np.uint32)
 
         self.quick = byte_pair_encoder(ranks) if ranks else None
+        self.words = pretokens.applies(path)
+        if self.words:  # an id that ends a pre-token has the mark of it
+            self.last = np.array([self.library.id_to_token(i).endswith("</w>") for i in range(self.library.get_vocab_size())])
 
     def library_ids(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text.  With ``ranks``, plain words without a special token's bracket go through the
         quicker library that reads the same vocabulary as ranks."""
         if self.quick is None:
-            return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
+            return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         out = [self.quick(t) if t.isascii() and "<" not in t else None for t in texts]
         rest = [i for i, x in enumerate(out) if x is None]
-        for i, e in zip(rest, self.library.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
+        for i, e in zip(rest, self.library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
             out[i] = e.ids
         return out
 
+    def unit_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the units in a row and their numbers; plain pre-tokens are encoded many to a line."""
+        plain = np.array([self.words and t.isascii() and "<|" not in t for t in texts], bool)
+        own = [t for t, x in zip(texts, plain.tolist()) if x]
+        lines = [" ".join(own[i : i + LINE]) for i in range(0, len(own), LINE)]
+        found = self.library.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32, sum(map(len, found)))
+        ends = np.flatnonzero(self.last[ids]) + 1 if self.words else np.zeros(0, np.int64)
+        if len(ends) != len(own):  # never, by the tokenizer's rules
+            plain[:] = False
+            ids, ends = ids[:0], ends[:0]
+        rest = self.library_ids([t for t, x in zip(texts, plain.tolist()) if not x])
+        sizes, starts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        sizes[plain], sizes[~plain] = np.diff(ends, prepend=0), [len(x) for x in rest]
+        starts[plain] = ends - sizes[plain]
+        starts[~plain] = len(ids) + np.cumsum(sizes[~plain]) - sizes[~plain]
+        flat = np.concatenate([ids, np.fromiter(chain.from_iterable(rest), np.uint32, int(sizes[~plain].sum()))])
+        return flat[ragged(starts, sizes)], sizes
+
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32) and the number of ids of each text."""
         counts = np.zeros(len(texts), np.int64)
@@ -164,17 +193,13 @@ class UnitEncoder:
         yield text[begin:]
 
     def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        buffer = b"".join(texts)
+        buffer = b"".join([t + b"\n" for t in texts] if self.words else texts)
         data = np.frombuffer(buffer, np.uint8)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        if not len(data):
+        offsets = np.concatenate([[0], np.cumsum([len(t) + self.words for t in texts])])
+        starts, ends, folded = pretokens.spans(data) if self.words else units(data, offsets)
+        if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        begins = np.zeros(len(data), bool)
-        begins[safe_cuts(data)] = True
-        begins[offsets[:-1][np.diff(offsets) > 0]] = True
-        starts = np.flatnonzero(begins)
-        ends = np.append(starts[1:], len(data))
-        keys = span_hashes(data, starts, ends)
+        keys = span_hashes(folded, starts, ends)
         slots = (keys >> self.shift).astype(np.int64)
         hit = (self.keys[slots] == keys) & (self.sizes[slots] > 0) & (ends - starts <= LONGEST)
         sizes = np.zeros(len(starts), np.int64)
@@ -187,15 +212,15 @@ class UnitEncoder:
         named[~long] = inverse
         named[long] = len(first) + np.arange(long.sum())  # a long unit is encoded at each place, never by its hash
         inverse, which = named, np.concatenate([miss[~long][first], miss[long]])
-        new = self.library_ids([buffer[a:b].decode() for a, b in zip(starts[which].tolist(), ends[which].tolist())])
-        new_sizes = np.array([len(x) for x in new], np.int64)
-        flat = np.fromiter((i for x in new for i in x), np.uint32, int(new_sizes.sum()))
+        flat, new_sizes = self.unit_ids([buffer[a:b].decode() for a, b in zip(starts[which].tolist(), ends[which].tolist())])
         new_starts = np.cumsum(new_sizes) - new_sizes
         sizes[miss] = new_sizes[inverse]
         places = np.cumsum(sizes) - sizes
         out = np.empty(int(sizes.sum()), np.uint32)
-        mask = np.arange(WIDTH) < sizes[hit][:, None]
-        out[(places[hit][:, None] + np.arange(WIDTH))[mask]] = rows[mask]
+        known, at = sizes[hit], places[hit]
+        for j in range(int(known.max(initial=0))):  # most units have one id or two
+            has = np.flatnonzero(known > j)
+            out[at[has] + j] = rows[has, j]
         out[ragged(places[miss], sizes[miss])] = flat[ragged(new_starts[inverse], new_sizes[inverse])]
         # keep what is short enough; a later unit takes the slot of an earlier one
         keep = np.flatnonzero((new_sizes > 0) & (new_sizes <= WIDTH) & (ends[which] - starts[which] <= LONGEST))
@@ -211,6 +236,15 @@ class UnitEncoder:
         return out, np.diff(per_unit[edge])
 
 
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, data): white space with the word behind it, for texts that begin at the ``offsets``."""
+    begins = np.zeros(len(data), bool)
+    begins[safe_cuts(data)] = True
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begins)
+    return starts, np.append(starts[1:], len(data))[: len(starts)], data
+
+
 _encoders: dict[tuple, UnitEncoder] = {}
 
 
