@@ -29,7 +29,7 @@ TRAILING = [
     Trailing("rolling_avg_7d", "avg", "actual_value", -6, 0),
     Trailing("rolling_avg_14d", "avg", "actual_value", -13, 0),
     Trailing("rolling_avg_28d", "avg", "actual_value", -27, 0),
-    Trailing("moving_baseline", "avg", "actual_value", -28, -1, min_count=7),
+    Trailing("moving_baseline", "ordered_avg", "actual_value", -28, -1, min_count=7),
 ]
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from metrivane.operators import sums
+from metrivane.operators.joins import hinted
 from metrivane.session import stage
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition id above, row index below
@@ -22,44 +24,30 @@ def top_n(df: DataFrame, group: list[str], order: list[Column], n: int, rank: st
     return ranked if rank else ranked.drop(name)
 
 
-def significant(amount: Column, digits: int = 12) -> Column:
-    """``amount`` rounded to so many significant digits."""
-    return F.format_string(f"%.{digits - 1}e", amount.cast("double")).cast("double")
-
-
 def rank_with_totals(
     df: DataFrame, group: list[str], amount: str, ties: list[str | Column], rank: str, total: str
 ) -> DataFrame:
     """Rank rows of a group by ``amount`` descending and attach the group's sum of ``amount``.
 
-    Groups are cut into blocks of similar magnitude (a monotone function of the
-    ``amount``, which is positive).  Block counts and sums are pre-aggregated, their
-    running counts give each block its first rank, and only a block is sorted in a task.
-
-    ``df`` is staged, because it is read for the blocks and again for the rows: what it
-    was computed from is then computed once.
-
-    Amounts are compared by 12 significant digits, whatever their scale: as sums they differ in
-    their last bits with the order partial sums arrive in, and equal members must rank alike on every run.
+    One sort by group, amount and ties, range-partitioned, is staged: a group that holds most rows, or one amount in all its
+    rows, is spread over as many partitions as its rows need.  A row's rank is its place among its group's rows in its
+    partition, after those in earlier partitions; these are counted per (partition, group).  Equal amounts
+    must be equal doubles: take them from ``sums.exact_sum``.
     """
-    size = significant(F.col(amount))
-    # larger amounts first; zero in the last block
-    block = F.coalesce(F.floor(F.log2(size) * -64), F.lit(1 << 20))
-    # The group is compared as one struct value, in which NULL members are equal.
-    split = stage(df.withColumns({"_group": F.struct(*group), "_size": size, "_block": block}))
-    blocks = split.groupBy("_group", "_block").agg(F.count("*").alias("_n"), F.sum(amount).alias("_s"))
-    whole = Window.partitionBy("_group")
-    blocks = blocks.select(
-        "_group",
-        "_block",
-        (F.sum("_n").over(whole.orderBy("_block")) - F.col("_n")).alias("_before"),
-        F.sum("_s").over(whole).alias(total),
+    # the group is compared as one struct value, in which NULL members are equal
+    grouped = df.withColumn("_group", F.struct(*group))
+    sorted_rows = grouped.orderBy("_group", F.desc(amount), *ties).withColumn("_at", F.monotonically_increasing_id())
+    placed = stage(sorted_rows)
+    placed = placed.withColumns({"_part": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND(_LOW_BITS)})
+    parts = placed.groupBy("_part", "_group").agg(
+        F.count("*").alias("_n"), F.min("_row").alias("_first"), *[F.sum(n).alias(f"_s{i}") for i, n in enumerate(sums.numbers(amount))]
     )
-    inside = Window.partitionBy("_group", "_block").orderBy(F.desc("_size"), *ties)
-    joined = split.join(blocks, ["_group", "_block"])
-    return joined.withColumn(
-        rank, (F.row_number().over(inside) + F.col("_before")).cast("int")
-    ).drop("_group", "_size", "_block", "_before")
+    whole = Window.partitionBy("_group")  # a row for each partition that the group reaches
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    totals = sums.value([F.sum(f"_s{i}").over(whole) for i in range(sums.NUMBERS)])
+    offsets = stage(parts.select("_part", "_group", (before - F.col("_first") + 1).alias("_shift"), totals.alias(total)))
+    joined = placed.join(hinted(offsets), ["_part", "_group"])
+    return joined.withColumn(rank, (F.col("_row") + F.col("_shift")).cast("int")).drop("_group", "_at", "_part", "_row", "_shift")
 
 
 def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:

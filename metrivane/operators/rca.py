@@ -12,6 +12,7 @@ from metrivane.functions.scalars import flag, joined, lookup, severity_label, se
 from metrivane.functions.text import cause_action, cause_statement
 from metrivane.operators.monitoring import require
 from metrivane.operators.ranking import rank_with_totals, top_n
+from metrivane.operators.sums import exact_sum
 
 COLUMNS = [
     "analysis_date",
@@ -64,7 +65,7 @@ def contributions(anomalies: DataFrame, settings: Settings = Settings(), detecto
     """The contribution table over every dimension spec.
 
     Candidates are filtered before the grouping sets multiply them, each set is
-    pre-aggregated map-side, and rank and share come from blocks of a group.
+    pre-aggregated map-side, and rank and share come from one range-partitioned sort.
     """
     cfg = settings.rca
     detector = detector or cfg.detector
@@ -86,7 +87,7 @@ def contributions(anomalies: DataFrame, settings: Settings = Settings(), detecto
         F.grouping_id().alias("_set"),
         F.avg("actual_value").alias("actual_value_sum_or_avg"),
         F.avg("expected_value").alias("expected_value_sum_or_avg"),
-        F.sum("degradation_amount").alias("degradation_amount"),
+        exact_sum("degradation_amount").alias("degradation_amount"),
         F.count("*").alias("anomaly_count"),
         F.max("_rank").alias("_rank"),
     )
@@ -168,18 +169,17 @@ def add_statement(table: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-# Total orders: ties beyond share and degradation go by date, KPI and member.  Both are
-# sums whose last bits depend on the order partial sums arrive in, so they are compared
-# rounded: the same table ranks the same way on every run.
+# Total orders: ties beyond share and degradation go by date, KPI and member.  Both come from
+# exact sums, so they are compared as they are and the same table ranks the same way on every run.
 _TIES = ["analysis_date", "kpi_name", "dimension_type", "dimension_value"]
 
 
 def _share():
-    return F.desc(F.round("contribution_share", 10))
+    return F.desc("contribution_share")
 
 
 def _amount():
-    return F.desc(F.round("degradation_amount", 8))
+    return F.desc("degradation_amount")
 
 
 def by_share():

@@ -25,7 +25,7 @@ class Trailing:
     """``stat`` of ``value`` over rows ``first..last`` relative to the current row."""
 
     name: str
-    stat: str  # "avg" | "stddev_samp" | "max"
+    stat: str  # "avg" | "ordered_avg" | "stddev_samp" | "max"
     value: str
     first: int
     last: int
@@ -49,14 +49,25 @@ def add_trailing(
 
 
 def _evaluate(df, partition, measures, order, guard=None) -> DataFrame:
-    series = Window.partitionBy(*partition).orderBy(order)
     valid = all_present(guard or partition)
-    return df.withColumns({m.name: _measure(m, series, valid) for m in measures})
+    # rows without a key belong to no series: each is a window of its own, so they don't meet in one task
+    apart = df.withColumn("_apart", F.when(~valid, F.monotonically_increasing_id()))
+    series = Window.partitionBy(*partition, "_apart").orderBy(order)
+    return apart.withColumns({m.name: _measure(m, series, valid) for m in measures}).drop("_apart")
+
+
+def ordered_avg(values: Column) -> Column:
+    """The mean of an array, added up from the smallest value: the same for equal values in any order."""
+    total = F.aggregate(F.array_sort(values), F.lit(0.0), lambda a, v: a + v)
+    return F.try_divide(total, F.size(values))
 
 
 def _measure(m: Trailing, series, valid: Column) -> Column:
     frame = series.rowsBetween(m.first, m.last)
-    stat = getattr(F, m.stat)(m.value).over(frame)
+    if m.stat == "ordered_avg":
+        stat = ordered_avg(F.collect_list(F.col(m.value).cast("double")).over(frame))
+    else:
+        stat = getattr(F, m.stat)(m.value).over(frame)
     enough = F.count(m.value).over(frame) >= m.min_count
     return F.when(valid & enough, stat)
 

@@ -31,7 +31,7 @@ from metrivane.operators import (
 from metrivane.operators.joins import with_one_row
 from metrivane.plans import reports, warehouse
 from metrivane.session import stage
-from metrivane.sources import panels, scans, sinks
+from metrivane.sources import panels, requested, scans, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,11 +214,9 @@ def labelled_panel(spark, folder):
     return shown(labelled_events(spark, folder).select("date", *EVENTS.dimensions, "kpi_value", *anomaly.LABEL_COLUMNS))
 
 
-@query
-def payload_flatten(spark, folder):
-    """Nested documents, one item each, flattened to panel rows."""
-    events = panels.read_table(spark, folder, "events")
-    item = F.struct(
+def payload_item():
+    """An event as an item of a payload document."""
+    return F.struct(
         F.concat(F.lit("p"), (F.col("user_id") % 6).cast("string")).alias("project"),
         F.col("event_type").alias("access"),
         F.lit("user").alias("agent"),
@@ -226,7 +224,87 @@ def payload_flatten(spark, folder):
         F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("00")).alias("timestamp"),
         F.col("value").alias("views"),
     )
-    return shown(scans.flatten_payloads(events.select(F.array(item).alias("items"))))
+
+
+@query
+def payload_flatten(spark, folder):
+    """Nested documents, one item each, flattened to panel rows."""
+    events = panels.read_table(spark, folder, "events")
+    return shown(scans.flatten_payloads(events.select(F.array(payload_item()).alias("items"))))
+
+
+# What a series source is asked for: one project that never comes, one agent.
+REQUESTED = {
+    "project": [f"p{i}" for i in range(7)],
+    "access": ["view", "click", "signup", "purchase", "error"],
+    "agent": ["user"],
+}
+
+
+def event_documents(spark, folder) -> DataFrame:
+    """A payload document per event as text; every 7th is cut off, every 11th has no items."""
+    events = panels.read_table(spark, folder, "events")
+    whole = F.to_json(F.struct(F.array(payload_item()).alias("items")))
+    text = F.when(F.col("event_id") % 7 == 0, F.substring(whole, 1, 40)).when(F.col("event_id") % 11 == 0, F.lit('{"items": []}'))
+    return events.select("event_id", F.col("event_type").alias("access"), F.coalesce(text, whole).alias("document"))
+
+
+@query
+def payload_failures(spark, folder):
+    """Broken and empty documents by name and reason, and how many items the others gave."""
+    parsed = scans.parse_payloads(event_documents(spark, folder), "document")
+    failed = scans.failed_payloads(parsed, ["event_id", "access"])
+    return failed.select("event_id", "access", "error")
+
+
+def requested_rows(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """(requested series, rows that came from the readable documents)."""
+    parsed = scans.parse_payloads(event_documents(spark, folder), "document")
+    return requested.requested_series(spark, REQUESTED), scans.flatten_payloads(parsed)
+
+
+@query
+def series_ledger(spark, folder):
+    """What came of each requested series; the series of one project never do."""
+    asked, rows = requested_rows(spark, folder)
+    return requested.ledger(asked, rows)
+
+
+@query
+def requested_coverage(spark, folder):
+    """One row per (series, day) came at most; a lost series lowers the share."""
+    asked, rows = requested_rows(spark, folder)
+    cells = rows.groupBy("date", *REQUESTED).agg(F.sum("kpi_value").alias("kpi_value"))
+    return shown(requested.requested_coverage(requested.ledger(asked, cells), cells), 2)
+
+
+@query
+def requested_missing_cells(spark, folder):
+    asked, rows = requested_rows(spark, folder)
+    return requested.missing_cells(asked, rows, "2024-01-10", "2024-01-20")
+
+
+CELLS = Contract(
+    types={"shipped": "date", "quantity": "integer", "price": "number", "returned": "boolean", "mode": "string"},
+    column_order=("shipped", "quantity", "price", "returned", "mode"),
+)
+
+
+@query
+def typed_cells(spark, folder):
+    """Text cells, some of them broken, typed by a contract."""
+    lines = panels.read_table(spark, folder, "lineitem")
+    n = F.col("l_orderkey") + F.col("l_linenumber")
+    text = lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(n % 5 == 0, "n/a").when(n % 7 == 0, "").otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("shipped"),
+        F.when(n % 3 == 0, "12x").when(n % 4 == 0, "2.5").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("quantity"),
+        F.when(n % 6 == 0, "NaN").when(n % 8 == 0, "").otherwise(F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("price"),
+        F.when(n % 9 == 0, "yes").when(F.col("l_returnflag") == "R", "True").when(n % 2 == 0, "1").otherwise("false").alias("returned"),
+        F.col("l_linestatus").alias("mode"),
+    )
+    return shown(scans.typed(text, CELLS), 6, price=2)
 
 
 @query
@@ -482,6 +560,38 @@ def anomaly_results(spark, folder):
     return shown(events_anomalies(spark, folder))
 
 
+LINES_RESIDUAL = replace(LINES, rca=replace(LINES.rca, detector="residual_anomaly"))
+
+
+def detected_lines(spark, folder) -> DataFrame:
+    """The default detection chain: z-score, full residual model, combination; a source without labels."""
+    panel = panels.lineitem_panel(spark, folder).select("date", *LINES.dimensions, "kpi_value")
+    return anomaly.detect(stage(monitoring.monitor(panel, LINES)), panel, LINES)
+
+
+@query
+def detected_lineitem(spark, folder):
+    return shown(detected_lines(spark, folder))
+
+
+@query
+def residual_anomaly_counts(spark, folder):
+    """Residual flags by date and KPI, which incidents without an own count fall back to."""
+    return warehouse.anomaly_counts(detected_lines(spark, folder))
+
+
+@query
+def rca_contributions_residual(spark, folder):
+    """Causes of the residual model's anomalies, ranked by exact sums."""
+    return shown(rca.contributions(detected_lines(spark, folder), LINES_RESIDUAL), 4, contribution_share=5)
+
+
+@query
+def rca_top_causes_residual(spark, folder):
+    causes = rca.top_causes(stage(rca.contributions(detected_lines(spark, folder), LINES_RESIDUAL)), LINES_RESIDUAL)
+    return shown(causes.drop("root_cause_statement"), 4, contribution_share=5)
+
+
 @query
 def anomaly_results_unlabelled(spark, folder):
     """A source without labels: the label columns are false and ''."""
@@ -549,7 +659,7 @@ def rca_contributions_orders(spark, folder):
 @query
 def rca_contributions_lineitem(spark, folder):
     table = rca.contributions(monitored_lines(spark, folder), LINES)
-    return shown(table.drop("recommended_action"), 4, contribution_share=5)
+    return shown(table, 4, contribution_share=5)
 
 
 @query

@@ -4,6 +4,7 @@ stage at most and readers of a stage share its one computation."""
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from metrivane.config import Contract, Settings
 from metrivane.operators import anomaly, evaluation, incidents, monitoring, quality, rca
 from metrivane.plans import reports, warehouse
 from metrivane.sources import scans, sinks
+from metrivane.sources.requested import ledger, requested_coverage, requested_series
 
 
 def evaluation_run(
@@ -85,21 +87,26 @@ def live_run(
     expected_series: int | None = None,
     best_detector_f1_score: float | None = None,
     run_timestamp: str | None = None,
+    requested: Mapping[str, list[str]] | None = None,
 ) -> dict[str, DataFrame]:
     """Unlabelled track: the lookback warms the baselines, the last days are reported.
 
-    The detector's F1 is carried over from a labelled run; it cannot be measured here.
+    The detector's F1 is carried over from a labelled run; it cannot be measured here.  ``requested`` lists the members asked
+    for by dimension: coverage is then measured against them, and a series that never came is a failure.
     """
-    rows, failures = scans.ingest_payloads(spark, landing, end, lookback_days)
+    asked = requested_series(spark, requested) if requested else None
+    rows, failures = scans.ingest_payloads(spark, landing, end, lookback_days, requested=asked)
     t: dict[str, DataFrame] = {}
 
     def put(name, df):
         t[name] = sinks.write_stage(df, f"{out}/{name}")
         return t[name]
 
-    failed = put("failures", failures)
+    failed, raw = put("failures", failures), put("raw", rows)
+    if asked is not None:
+        put("series", ledger(asked, raw, failed))
     return rescore(
-        put, t, put("raw", rows), settings, report_days, expected_series, failed.count(), best_detector_f1_score,
+        put, t, raw, settings, report_days, expected_series, 0 if asked is not None else failed.count(), best_detector_f1_score,
         run_timestamp,
     )
 
@@ -122,8 +129,11 @@ def rescore(
     anomalies = put("anomalies", anomaly.detect(monitored, raw, settings))
     recent = put("report_window", reports.report_window(anomalies, report_days))
     put("run_summary", reports.run_summary(anomalies, dims, report_days))
-    expected = expected_series or raw.select(*dims[1:]).distinct().count()
-    covered = put("coverage", quality.coverage(raw, dims[1:], expected, failures))
+    if "series" in t:  # a ledger of what was asked for
+        covered = put("coverage", requested_coverage(t["series"], raw))
+    else:
+        expected = expected_series or raw.select(*dims[1:]).distinct().count()
+        covered = put("coverage", quality.coverage(raw, dims[1:], expected, failures))
     ctx = covered.select(
         F.lit(settings.incident.detector).alias("best_detector"),
         F.lit(best_detector_f1_score).cast("double").alias("best_detector_f1_score"),

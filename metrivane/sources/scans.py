@@ -83,6 +83,14 @@ def read_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def parse_payloads(documents: DataFrame, text: str) -> DataFrame:
+    """Payload documents that are cells of a table; a broken one is kept as a corrupt row."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = documents.withColumn("_document", F.from_json(text, PAYLOAD_SCHEMA, options))
+    others = [c for c in documents.columns if c != text]
+    return parsed.select(*others, F.col("_document.items").alias("items"), F.col("_document._corrupt").alias("_corrupt"))
+
+
 def flatten_payloads(payloads: DataFrame, kpi_name: str = "pageviews") -> DataFrame:
     """One row per item: date from the first 8 digits of the timestamp, the count as the value."""
     items = payloads.select(F.inline("items"))
@@ -96,27 +104,41 @@ def flatten_payloads(payloads: DataFrame, kpi_name: str = "pageviews") -> DataFr
     )
 
 
-def failed_payloads(payloads: DataFrame) -> DataFrame:
+def failed_payloads(payloads: DataFrame, source: str | list[str] = "source_file") -> DataFrame:
     """Sources without any item, and why."""
-    empty = F.coalesce(F.size("items"), F.lit(0)) == 0
+    empty = F.coalesce(F.size("items"), F.lit(0)) <= 0  # the size of a missing list may be -1
     reason = F.when(F.col("_corrupt").isNotNull(), "Unreadable payload").otherwise("Empty payload")
-    return payloads.where(empty).select("source_file", reason.alias("error"))
+    named = [source] if isinstance(source, str) else source
+    return payloads.where(empty).select(*named, reason.alias("error"))
 
 
 def ingest_payloads(
-    spark: SparkSession, path: str | list[str], end: dt.date | str, lookback_days: int, kpi_name: str = "pageviews"
+    spark: SparkSession,
+    path: str | list[str],
+    end: dt.date | str,
+    lookback_days: int,
+    kpi_name: str = "pageviews",
+    requested: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(series rows of the lookback, failed sources).
+    """(series rows of the lookback, failures).
 
-    A failed source does not sink the others; if every source failed, raises.
+    Without ``requested`` the failures are the sources without items.  With it (see ``requested.requested_series``) only
+    requested series are kept, and the failures are the requested series that never came, with the reason.
+    A failure does not sink the others; if everything failed, raises.
     """
     from metrivane.plans.reports import lookback
+    from metrivane.sources.requested import ledger
 
     payloads = read_payloads(spark, path)
     rows = lookback(flatten_payloads(payloads, kpi_name), end, lookback_days)
+    if requested is not None:
+        rows = rows.join(requested, requested.columns, "left_semi")
     if rows.isEmpty():
         raise NoSeriesError("No series could be read")
-    return rows, failed_payloads(payloads)
+    if requested is None:
+        return rows, failed_payloads(payloads)
+    lost = ledger(requested, rows).where(F.col("status") == "failed")
+    return rows, lost.select(*requested.columns, "error")
 
 
 def concatenate(frames: list[DataFrame]) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 CTES: dict[str, tuple[tuple[str, ...], str]] = {}
 ORACLE: dict[str, str] = {}
+STORED = {"ec", "e", "hit"}  # read more than once by the queries that label the panel
 
 
 def cte(name: str, body: str, *deps: str) -> None:
@@ -24,7 +25,7 @@ def sql(name: str, select: str, *deps: str) -> None:
 
     for d in deps:
         need(d)
-    head = ", ".join(f"{n} AS ({CTES[n][1]})" for n in order)
+    head = ", ".join(f"{n} AS {'MATERIALIZED ' if n in STORED else ''}({CTES[n][1]})" for n in order)
     recursive = "RECURSIVE " if any("UNION ALL SELECT /* step */" in CTES[n][1] for n in order) else ""
     ORACLE[name] = f"WITH {recursive}{head} {select}" if head else select
 
@@ -108,18 +109,41 @@ RULES = """(VALUES
  ('INC-LATENCY-T0','latency_spike','Latency spike in T0.',DATE '2024-01-15',DATE '2024-01-18','latency_ms','T0',NULL),
  ('INC-LATENCY-T0-HIGH','latency_spike_high','Latency spike in T0 high.',DATE '2024-01-17',DATE '2024-01-22','latency_ms','T0','high')
 ) AS rules(id, typ, descr, d0, d1, kpi, t, b)"""
-cte("lab", f"""
-SELECT e.*, COALESCE(m.n, 0) > 0 AS is_incident, COALESCE(m.ids,'') AS incident_id, COALESCE(m.typs,'') AS incident_type,
-  COALESCE(m.descrs,'') AS incident_description
-FROM e LEFT JOIN (SELECT {', '.join('x.' + c for c in ('date',) + E_DIMS)}, COUNT(*) AS n, string_agg(id,'|' ORDER BY id) AS ids,
-    string_agg(typ,'|' ORDER BY id) AS typs, string_agg(descr,' ' ORDER BY id) AS descrs
-  FROM e x JOIN {RULES} ON x.date BETWEEN d0 AND d1 AND (kpi IS NULL OR kpi=x.kpi_name) AND (t IS NULL OR t=x.tier)
-    AND (b IS NULL OR b=x.band) GROUP BY 1,2,3,4) m USING (date, kpi_name, tier, band)""", "e")
+cte("rule_days", f"SELECT id, typ, descr, kpi, t, b, CAST(UNNEST(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS date FROM {RULES}")
+cte("hit", """SELECT date, kpi_name, tier, band, string_agg(id, '|' ORDER BY id) AS ids, string_agg(typ, '|' ORDER BY id) AS typs,
+    string_agg(descr, ' ' ORDER BY id) AS descrs
+  FROM (SELECT DISTINCT date, kpi_name, tier, band FROM e) x JOIN rule_days USING (date)
+  WHERE COALESCE(kpi, kpi_name) = kpi_name AND COALESCE(t, tier) = tier AND COALESCE(b, band) = band GROUP BY 1, 2, 3, 4""", "e", "rule_days")
+cte("lab", """SELECT e.*, hit.ids IS NOT NULL AS is_incident, COALESCE(hit.ids, '') AS incident_id, COALESCE(hit.typs, '') AS incident_type,
+  COALESCE(hit.descrs, '') AS incident_description FROM e LEFT JOIN hit USING (date, kpi_name, tier, band)""", "e", "hit")
 _LABELS = "is_incident, incident_id, incident_type, incident_description"
 sql("labelled_panel", f"SELECT {ED}, {r('kpi_value')}, {_LABELS} FROM lab", "lab")
 sql("payload_flatten", f"""SELECT CAST(ts AS DATE) AS date, 'pageviews' AS kpi_name,
   CONCAT('p', CAST(user_id % 6 AS VARCHAR)) AS project, event_type AS access, 'user' AS agent,
   {r('value', name='kpi_value')} FROM events""")
+cte("doc", """SELECT event_id, event_type AS access, CONCAT('p', CAST(user_id % 6 AS VARCHAR)) AS project, 'user' AS agent,
+  CAST(ts AS DATE) AS date, value, event_id % 7 = 0 AS broken, event_id % 7 <> 0 AND event_id % 11 = 0 AS empty FROM events""")
+sql("payload_failures", """SELECT event_id, access, CASE WHEN broken THEN 'Unreadable payload' ELSE 'Empty payload' END AS error
+  FROM doc WHERE broken OR empty""", "doc")
+cte("asked", """SELECT project, access, 'user' AS agent FROM (SELECT UNNEST(['p0', 'p1', 'p2', 'p3', 'p4', 'p5', 'p6']) AS project),
+  (SELECT UNNEST(['view', 'click', 'signup', 'purchase', 'error']) AS access)""")
+cte("came", "SELECT * FROM doc WHERE NOT broken AND NOT empty", "doc")
+sql("series_ledger", """SELECT a.project, a.access, a.agent, COUNT(c.event_id) AS rows, COUNT(DISTINCT c.date) AS days, MIN(c.date) AS first_day,
+  MAX(c.date) AS last_day, CASE WHEN COUNT(c.event_id) > 0 THEN 'received' ELSE 'failed' END AS status,
+  CASE WHEN COUNT(c.event_id) = 0 THEN 'No payload' END AS error
+  FROM asked a LEFT JOIN came c USING (project, access, agent) GROUP BY 1, 2, 3""", "asked", "came")
+sql("requested_coverage", f"""SELECT {r('share', 2, 'health_score')}, CASE WHEN share >= 98 AND observed_series = 35 THEN 'PASS' ELSE 'FAIL' END AS status,
+  35 AS expected_series, observed_series, observed_days, {r('share', 2, 'coverage_pct')}, 35 - observed_series AS fetch_failures
+  FROM (SELECT COUNT(DISTINCT (project, access)) AS observed_series, COUNT(DISTINCT date) AS observed_days,
+    100 * (COUNT(DISTINCT (date, project, access))::DOUBLE / (35 * COUNT(DISTINCT date))) AS share FROM came)""", "came")
+sql("requested_missing_cells", """SELECT project, access, agent, date FROM (SELECT project, access, agent,
+    CAST(UNNEST(generate_series(DATE '2024-01-10', DATE '2024-01-20', INTERVAL 1 DAY)) AS DATE) AS date FROM asked) g
+  WHERE NOT EXISTS (SELECT 1 FROM came c WHERE c.project = g.project AND c.access = g.access AND c.agent = g.agent AND c.date = g.date)""", "asked", "came")
+cte("cells", """SELECT l_orderkey, l_linenumber, l_orderkey + l_linenumber AS n, l_shipdate, l_quantity, l_extendedprice, l_returnflag, l_linestatus FROM lineitem""")
+sql("typed_cells", f"""SELECT l_orderkey, l_linenumber, CASE WHEN n % 5 <> 0 AND n % 7 <> 0 THEN CAST(l_shipdate AS DATE) END AS shipped,
+  CASE WHEN n % 3 <> 0 AND n % 4 <> 0 THEN CAST(trunc(l_quantity) AS BIGINT) END AS quantity,
+  {r("CASE WHEN n % 6 <> 0 AND n % 8 <> 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) END", 2, "price")},
+  n % 9 <> 0 AND (l_returnflag = 'R' OR n % 2 = 0) AS returned, l_linestatus AS mode FROM cells""", "cells")
 sql("lookback_rows", f"""SELECT {ED}, {r('kpi_value')} FROM e
   WHERE date BETWEEN DATE '2024-01-19' AND DATE '2024-01-28'""", "e")
 sql("report_window_rows", f"""SELECT {OD}, {r('kpi_value', 4)} FROM o
@@ -159,7 +183,8 @@ SELECT date, {keys}, kpi_value AS actual_value,
   AVG(kpi_value) OVER ({w} 13 PRECEDING AND CURRENT ROW) AS rolling_avg_14d,
   AVG(kpi_value) OVER ({w} 27 PRECEDING AND CURRENT ROW) AS rolling_avg_28d,
   CASE WHEN COUNT(kpi_value) OVER ({w} 28 PRECEDING AND 1 PRECEDING) >= 7
-    THEN AVG(kpi_value) OVER ({w} 28 PRECEDING AND 1 PRECEDING) END AS moving_baseline,
+    THEN list_sum(list_sort(list(kpi_value) FILTER (kpi_value IS NOT NULL) OVER ({w} 28 PRECEDING AND 1 PRECEDING)))
+      / COUNT(kpi_value) OVER ({w} 28 PRECEDING AND 1 PRECEDING) END AS moving_baseline,
   CASE WHEN COUNT(kpi_value) OVER ({w} 28 PRECEDING AND 1 PRECEDING) >= 7
     THEN STDDEV_SAMP(kpi_value) OVER ({w} 28 PRECEDING AND 1 PRECEDING) END AS std
 FROM {p}""", p)
@@ -339,9 +364,8 @@ def define_full_ridge(p: str, dims: tuple[str, ...], alpha: float = 1.0) -> None
   JOIN (SELECT kpi_name, -SUM(mu * w) AS level FROM {p}b GROUP BY 1) USING (kpi_name)""", f"{p}c", f"{p}f", f"{p}b")
 
 
-for _q, _from in (("lr", "l"),):
-    cte(f"{_q}m", f"SELECT * FROM {_from}m", f"{_from}m")
-    cte(f"{_q}s", f"SELECT * FROM {_from}s", f"{_from}s")
+cte("lrm", "SELECT * FROM lz", "lz")
+cte("lrs", "SELECT * FROM ls", "ls")
 define_full_ridge("lr", L_DIMS[1:])
 _l_adverse = case({k: v[2] for k, v in THRESHOLDS["l"].items()}, "NULL")
 cte("lre", f"""
@@ -417,25 +441,31 @@ sql("document_label_evaluation", confusion("doclab", ["long_text", "very_long_te
 # ------------------------------------------------------------------ root causes
 
 
-def define_rca(p: str, specs: dict[str, tuple[str, ...]]) -> None:
-    t = THRESHOLDS[p]
+def exact(x: str, over: str = "") -> str:
+    """A sum on a grid of integers, the same in any order of rows."""
+    return f"(CAST(SUM(CAST(round({x} * {2**60}::DOUBLE) AS HUGEINT)) {over} AS DOUBLE) / {2**60}::DOUBLE)"
+
+
+def define_rca(p: str, specs: dict[str, tuple[str, ...]], source: str | None = None, detector: str = "threshold_breached",
+               severity: str = "monitoring_status", thresholds: str | None = None) -> None:
+    t, source = THRESHOLDS[thresholds or p], source or f"{p}m"
     higher = [k for k, v in t.items() if v[2] == "higher_is_bad"]
     lst = ", ".join(f"'{k}'" for k in higher)
     cte(f"{p}cand", f"""SELECT *, GREATEST(0.0, CASE WHEN kpi_name IN ({lst}) THEN actual_value - expected_value
-  ELSE expected_value - actual_value END) AS degradation_amount FROM {p}m
-  WHERE threshold_breached AND monitoring_status IN ('WARNING','CRITICAL') AND expected_value IS NOT NULL
-    AND percent_variance IS NOT NULL""", f"{p}m")
+  ELSE expected_value - actual_value END) AS degradation_amount FROM {source}
+  WHERE {detector} AND {severity} IN ('WARNING','CRITICAL') AND expected_value IS NOT NULL
+    AND percent_variance IS NOT NULL""", source)
     union = " UNION ALL ".join(
-        f"""SELECT date AS analysis_date, kpi_name, 'threshold_breached' AS detector_used, '{name}' AS dimension_type,
+        f"""SELECT date AS analysis_date, kpi_name, '{detector}' AS detector_used, '{name}' AS dimension_type,
   concat_ws(' + ', {', '.join(cols)}) AS dimension_value, AVG(actual_value) AS actual_value_sum_or_avg,
-  AVG(expected_value) AS expected_value_sum_or_avg, SUM(degradation_amount) AS degradation_amount,
-  CAST(COUNT(*) AS BIGINT) AS anomaly_count, {_name("MAX(" + _rank("monitoring_status") + ")")} AS severity_max
+  AVG(expected_value) AS expected_value_sum_or_avg, {exact('degradation_amount')} AS degradation_amount,
+  CAST(COUNT(*) AS BIGINT) AS anomaly_count, {_name("MAX(" + _rank(severity) + ")")} AS severity_max
 FROM {p}cand WHERE degradation_amount > 0 GROUP BY ALL""" for name, cols in specs.items())
     cte(f"{p}rca", f"""
 SELECT *, 'Review ' || kpi_name || ' drivers for ' || dimension_type || ' = ' || dimension_value ||
   '; check recent releases, tracking changes, campaign mix, and operational issues.' AS recommended_action,
-  LEAST(1.0, degradation_amount / SUM(degradation_amount) OVER (PARTITION BY analysis_date, kpi_name, dimension_type)) AS contribution_share,
-  CAST(ROW_NUMBER() OVER (PARTITION BY analysis_date, kpi_name, dimension_type ORDER BY round(degradation_amount, 9) DESC, dimension_value) AS INT)
+  LEAST(1.0, degradation_amount / {exact('degradation_amount', 'OVER (PARTITION BY analysis_date, kpi_name, dimension_type)')}) AS contribution_share,
+  CAST(ROW_NUMBER() OVER (PARTITION BY analysis_date, kpi_name, dimension_type ORDER BY degradation_amount DESC, dimension_value) AS INT)
     AS contribution_rank FROM ({union})""", f"{p}cand")
 
 
@@ -444,6 +474,12 @@ define_rca("o", {"region": ("region",), "segment": ("segment",), "priority": ("p
                  "region_segment": ("region", "segment"), "full_segment": ("region", "segment", "priority")})
 define_rca("l", {**{c: (c,) for c in L_DIMS[1:]}, "region_segment_priority": ("region", "segment", "priority"),
                  "full_segment": L_DIMS[1:]})
+cte("ldet", f"""SELECT *, zscore_anomaly OR residual_anomaly AS combined_anomaly, {_worse} AS combined_severity, FALSE AS is_incident,
+  '' AS incident_id, '' AS incident_type, '' AS incident_description FROM lre""", "lre")
+sql("detected_lineitem", f"SELECT {LD}, {_ANOM} FROM ldet", "ldet")
+sql("residual_anomaly_counts", "SELECT date, kpi_name, COUNT(*) AS anomaly_count FROM ldet WHERE residual_anomaly GROUP BY 1, 2", "ldet")
+define_rca("ld", {**{c: (c,) for c in L_DIMS[1:]}, "region_segment_priority": ("region", "segment", "priority"),
+                  "full_segment": L_DIMS[1:]}, "ldet", "residual_anomaly", "residual_severity", "l")
 sql("rca_candidates", f"SELECT {OD}, {r('degradation_amount', 3)}, monitoring_status FROM ocand", "ocand")
 sql("rca_candidate_summary", """SELECT COUNT(*) AS detector_anomaly_count,
   COUNT(*) FILTER (expected_value IS NOT NULL AND percent_variance IS NOT NULL) AS valid_expected_baseline_count,
@@ -466,7 +502,8 @@ sql("rca_ranked_by_detector", f"SELECT analysis_date, {rca_columns(6)}, CAST(ano
     .replace("anomaly_count, severity_max, CAST", "severity_max, CAST"), "erca")
 ORACLE["staged_rca"] = ORACLE["rca_ranked_by_detector"]
 sql("rca_contributions_orders", f"SELECT analysis_date, {rca_columns(2)}, recommended_action FROM orca", "orca")
-sql("rca_contributions_lineitem", f"SELECT analysis_date, {rca_columns(4, 5)} FROM lrca", "lrca")
+sql("rca_contributions_lineitem", f"SELECT analysis_date, {rca_columns(4, 5)}, recommended_action FROM lrca", "lrca")
+sql("rca_contributions_residual", f"SELECT analysis_date, {rca_columns(4, 5)}, recommended_action FROM ldrca", "ldrca")
 
 
 def statement(share: str = "contribution_share", higher: str = "kpi_name='latency_ms'") -> str:
@@ -479,17 +516,26 @@ sql("rca_statements", f"""SELECT analysis_date, kpi_name, dimension_type, dimens
   {statement()} AS root_cause_statement FROM erca""", "erca")
 _TOP = f"analysis_date, kpi_name, dimension_type, dimension_value, {r('degradation_amount', 3)}, {r('contribution_share')}"
 _TIES = "analysis_date, kpi_name, dimension_type, dimension_value"
-_BY_SHARE = f"round(contribution_share, 10) DESC, round(degradation_amount, 8) DESC, {_TIES}"
-_BY_AMOUNT = f"round(degradation_amount, 8) DESC, round(contribution_share, 10) DESC, {_TIES}"
+_BY_SHARE = f"contribution_share DESC, degradation_amount DESC, {_TIES}"
+_BY_AMOUNT = f"degradation_amount DESC, contribution_share DESC, {_TIES}"
 _INTER = "dimension_type IN ('region_segment','full_segment')"
-cte("otop", f"SELECT *, ROW_NUMBER() OVER (ORDER BY {_BY_SHARE}) AS pos, 2 AS pr FROM orca WHERE {_INTER} AND contribution_share >= 0.05 ORDER BY pos LIMIT 10", "orca")
-cte("okpi", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY {_BY_AMOUNT}) AS pos, 0 AS pr FROM (SELECT * FROM orca WHERE {_INTER}
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY kpi_name ORDER BY {_BY_AMOUNT}) = 1)""", "orca")
-cte("odim", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY {_BY_AMOUNT}) AS pos, 1 AS pr FROM (SELECT * FROM orca
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY dimension_type ORDER BY {_BY_AMOUNT}) = 1)""", "orca")
-cte("ocauses", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY pr, pos) AS position FROM (
-  SELECT * FROM (SELECT * FROM okpi UNION ALL BY NAME SELECT * FROM odim UNION ALL BY NAME SELECT * FROM otop)
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY {_TIES} ORDER BY pr, pos) = 1) ORDER BY position LIMIT 10""", "okpi", "odim", "otop")
+
+
+def define_causes(p: str, table: str, interactions: str) -> None:
+    cte(f"{p}top", f"SELECT *, ROW_NUMBER() OVER (ORDER BY {_BY_SHARE}) AS pos, 2 AS pr FROM {table} WHERE {interactions} AND contribution_share >= 0.05 ORDER BY pos LIMIT 10", table)
+    cte(f"{p}kpi", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY {_BY_AMOUNT}) AS pos, 0 AS pr FROM (SELECT * FROM {table} WHERE {interactions}
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY kpi_name ORDER BY {_BY_AMOUNT}) = 1)""", table)
+    cte(f"{p}dim", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY {_BY_AMOUNT}) AS pos, 1 AS pr FROM (SELECT * FROM {table}
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY dimension_type ORDER BY {_BY_AMOUNT}) = 1)""", table)
+    cte(f"{p}causes", f"""SELECT *, ROW_NUMBER() OVER (ORDER BY pr, pos) AS position FROM (
+  SELECT * FROM (SELECT * FROM {p}kpi UNION ALL BY NAME SELECT * FROM {p}dim UNION ALL BY NAME SELECT * FROM {p}top)
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY {_TIES} ORDER BY pr, pos) = 1) ORDER BY position LIMIT 10""", f"{p}kpi", f"{p}dim", f"{p}top")
+
+
+define_causes("o", "orca", _INTER)
+define_causes("ld", "ldrca", "dimension_type IN ('region_segment_priority','full_segment')")
+sql("rca_top_causes_residual", f"""SELECT analysis_date, {rca_columns(4, 5)}, recommended_action, CAST(position AS INT) AS position
+  FROM ldcauses""", "ldcauses")
 sql("rca_overall_top", f"SELECT {_TOP} FROM otop", "otop")
 sql("rca_top_by_kpi", f"SELECT {_TOP} FROM okpi", "okpi")
 sql("rca_top_by_dimension", f"SELECT {_TOP} FROM odim", "odim")
@@ -502,7 +548,7 @@ sql("rca_action_examples", """SELECT recommended_action, CAST(MIN(position) AS I
   ORDER BY 2, 1 LIMIT 5""", "ocauses")
 sql("rca_slice", f"""SELECT analysis_date, {rca_columns(3)}, recommended_action FROM orca WHERE kpi_name='average_order_value'
   AND analysis_date=DATE '1998-03-01' AND dimension_type='full_segment'
-  ORDER BY round(contribution_share, 10) DESC, round(degradation_amount, 8) DESC, dimension_value LIMIT 20""", "orca")
+  ORDER BY contribution_share DESC, degradation_amount DESC, dimension_value LIMIT 20""", "orca")
 
 # ------------------------------------------------------------------ quality
 
@@ -582,7 +628,7 @@ cte("iagg", f"""SELECT date, kpi_name, AVG(actual_value) AS a, AVG(expected_valu
 sql("incident_aggregates", f"""SELECT date, kpi_name, {r('a', name='mean_actual')}, {r('x', name='mean_expected')}, {r('v', name='mean_variance')},
   n AS anomaly_count, {r('worst', name='worst_variance')}, sev AS severity_rank FROM iagg""", "iagg")
 cte("icause", """SELECT *, round_even(contribution_share, 6) AS share6 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY analysis_date, kpi_name
-  ORDER BY round(contribution_share, 10) DESC, round(degradation_amount, 8) DESC, dimension_type, dimension_value) AS rn
+  ORDER BY contribution_share DESC, degradation_amount DESC, dimension_type, dimension_value) AS rn
   FROM erca WHERE dimension_type = 'full_segment') WHERE rn <= 3""", "erca")
 sql("incident_causes", f"""SELECT analysis_date, kpi_name, CAST(rn - 1 AS INT) AS "at", dimension_type, dimension_value,
   {r('share6', name='contribution_share')}, {r('round_even(degradation_amount, 6)', name='degradation_amount')}, severity_max AS severity, recommended_action FROM icause""", "icause")
@@ -695,7 +741,7 @@ sql("fact_left_keys", f"""SELECT date, k.key AS kpi_key, g.key AS region_key, se
   LEFT JOIN d_o_kpi_name k ON k.member=kpi_name LEFT JOIN (SELECT member, CAST(ROW_NUMBER() OVER (ORDER BY member) AS INT) AS key
   FROM (SELECT DISTINCT region AS member FROM o)) g ON g.member=region""", "o", "d_o_kpi_name")
 cte("best", """SELECT * FROM erca WHERE contribution_rank=1 QUALIFY ROW_NUMBER() OVER (PARTITION BY analysis_date, kpi_name
-  ORDER BY round(contribution_share,10) DESC, round(degradation_amount,8) DESC, dimension_type) = 1""", "erca")
+  ORDER BY contribution_share DESC, degradation_amount DESC, dimension_type) = 1""", "erca")
 
 
 def enriched(counts: str) -> str:
@@ -719,7 +765,7 @@ sql("mart_root_cause_summary", f"""SELECT analysis_date_key, kpi_key, {', '.join
   {rs('degradation_amount contribution_share')}, contribution_rank, CAST(anomaly_count AS INT) AS anomaly_count, severity_max, recommended_action,
   'For ' || kpi_name || ' on ' || CAST(analysis_date_key AS VARCHAR) || ', ' || dimension_value || ' contributed ' ||
   CAST(round(CAST(contribution_share * 100 AS DECIMAL(20,10)), 1) AS DECIMAL(20,1))::VARCHAR || '% of measured degradation.' AS root_cause_statement
-FROM frca QUALIFY ROW_NUMBER() OVER (PARTITION BY analysis_date_key, kpi_key ORDER BY round(contribution_share,10) DESC, round(degradation_amount,8) DESC,
+FROM frca QUALIFY ROW_NUMBER() OVER (PARTITION BY analysis_date_key, kpi_key ORDER BY contribution_share DESC, degradation_amount DESC,
   detector_used, dimension_type, dimension_value) = 1""", "frca")
 cte("dq", """SELECT '2024-02-20' AS run_timestamp, (SELECT status FROM qr) AS status, (SELECT health_score FROM qr) AS health_score,
   MAX(CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END) FILTER ("check"='schema') AS schema_status,

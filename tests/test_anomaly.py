@@ -293,6 +293,39 @@ def test_exact_median_of_a_long_skewed_group(spark):
     assert medians.exact_median(df, [], "v").first()[0] == expected
 
 
+@pytest.mark.parametrize("few", [1, 3, 50])
+def test_exact_median_by_repeated_narrowing(spark, monkeypatch, few):
+    """Heavy values next to the middle, wide ranges, even and odd counts, and groups without values."""
+    monkeypatch.setattr(medians, "FEW", few)
+    rng = random.Random(6)
+    groups = {
+        0: [1.0] * 500 + [2.0] * 500,
+        1: [1.0] * 500 + [2.0] * 501,
+        2: [rng.gauss(0, 1) * 10 ** rng.randint(-200, 200) for _ in range(3001)],
+        3: [float(i) for i in range(2000)],
+        4: [0.0] * 999 + [-1e300, 1e300],
+        5: [7.0, 9.0],
+        6: [-0.5],
+    }
+    rows = [(g, v) for g, vs in groups.items() for v in vs] + [(7, None)]
+    rng.shuffle(rows)
+    df = stage(spark.createDataFrame(rows, "g int, v double"))
+    got = {r.g: r["median"] for r in medians.exact_median(df, ["g"], "v").collect()}
+    assert got == {g: statistics.median(vs) for g, vs in groups.items()}
+    whole = [v for vs in groups.values() for v in vs]
+    assert medians.exact_median(df, [], "v").first()[0] == statistics.median(whole)
+    assert medians.exact_median(df.where("g = 7"), [], "v").collect()[0][0] is None
+
+
+def test_exact_median_when_a_proposal_misses(spark, monkeypatch):
+    monkeypatch.setattr(medians, "FEW", 2)
+    monkeypatch.setattr(medians, "_ACCURACY", 3)  # percentiles that are far off
+    monkeypatch.setattr(medians, "_STEPS", 3)
+    values = [float((i * 7919) % 4001) for i in range(4001)]
+    df = stage(spark.createDataFrame([(v,) for v in values], "v double"))
+    assert medians.exact_median(df, [], "v").first()[0] == statistics.median(values)
+
+
 def test_full_detection_has_one_row_per_input(spark):
     p = noisy_panel(spark)
     mon = monitoring.monitor(p)

@@ -153,3 +153,42 @@ def test_contract_file(tmp_path):
     c = load_contract(path)
     assert (c.name, c.key, c.ranges, c.types) == ("d", ("a",), {"x": (1, None)}, {"x": "number"})
     assert load_contract(tmp_path / "absent.yaml") == Contract()
+
+
+def test_label_windows_against_every_rule(spark):
+    """Random rules with wildcards, long and short windows, repeated rules and NULL members, against a plain loop."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(5)
+    first = dt.date(1969, 12, 20)
+    day = lambda n: first + dt.timedelta(days=n)
+    rules = []
+    for i in range(60):
+        start = rng.randint(0, 40)
+        end = start + rng.choice([0, 1, 6, 30, 4000, -1])
+        rules.append((f"I{rng.randint(0, 30):02d}", "t", f"d{i % 7}", day(start), day(end), rng.choice([None, "a", "b"]), rng.choice([None, "x", "y"])))
+    rules += rules[:3]
+    rows = [(day(n) if n < 70 else None, k, d) for n in range(0, 71, 2) for k in ("a", "b", None) for d in ("x", "z")] * 2
+    df = spark.createDataFrame(rows, "date date, kpi_name string, dim string")
+    schema = "incident_id string, incident_type string, incident_description string, start_date date, end_date date, kpi_name string, dim string"
+    out = labels.label_windows(df, spark.createDataFrame(rules, schema), ["kpi_name", "dim"]).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        fits = sorted(
+            (x for x in rules if r.date and x[3] <= r.date <= x[4] and x[5] in (None, r.kpi_name) and x[6] in (None, r.dim)),
+            key=lambda x: (x[0], x[1], x[2], x[3], x[4], x[5] or "", x[6] or ""),
+        )
+        assert (r.is_incident, r.incident_id) == (bool(fits), "|".join(x[0] for x in fits))
+        assert r.incident_description == " ".join(x[2] for x in fits)
+
+
+def test_many_rules_on_one_day(spark):
+    rules = spark.range(100_000).selectExpr(
+        "concat('I', id) as incident_id", "'t' as incident_type", "'d' as incident_description", "date'2024-01-05' as start_date",
+        "date'2024-01-05' as end_date", "concat('k', id) as kpi_name", "cast(null as string) as dim",
+    )
+    rows = spark.range(20_000).selectExpr("date'2024-01-05' as date", "concat('k', id * 10) as kpi_name", "'x' as dim")
+    out = labels.label_windows(rows, rules, ["kpi_name", "dim"])
+    assert out.where("is_incident").count() == 10_000
+    assert "_rules" not in out.columns and out.count() == 20_000
