@@ -22,7 +22,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     pass and nothing else.  ``df`` is read once or twice a pass: pass a stored or staged table.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    eps = 2.0 / _ACCURACY
+    eps = min(0.5, 2.0 / _ACCURACY)
     bounds = rows.groupBy(*keys).agg(
         F.count("*").alias("_n"), F.percentile_approx("_v", [0.5 - eps, 0.5 + eps], _ACCURACY).alias("_b")
     )
@@ -38,11 +38,13 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
         F.col("_b")[1].alias("_b1"),
     )
     state = stage(state)
-    while _pending(state):
+    pending = _pending(state)
+    while pending:
         many = state.where(_open() & (F.col("_in") > FEW))
         counted = stage(_narrowed(rows, many, keys))
         state = counted.unionByName(state.where(~_open() | (F.col("_in") <= FEW)))
-        if _pending(state):
+        pending = _pending(counted)
+        if pending:
             state = stage(_proposed(rows, state, keys))
     last = _inside(rows, state.where(_open()), keys)
     picked = last.groupBy(*keys).agg(

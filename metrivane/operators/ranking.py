@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metrivane.operators import sums
-from metrivane.operators.joins import hinted
 from metrivane.session import stage
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition id above, row index below
@@ -36,7 +35,7 @@ def rank_with_totals(
     """
     # the group is compared as one struct value, in which NULL members are equal
     grouped = df.withColumn("_group", F.struct(*group))
-    sorted_rows = grouped.orderBy("_group", F.desc(amount), *ties).withColumn("_at", F.monotonically_increasing_id())
+    sorted_rows = grouped.orderBy(*group, F.desc(amount), *ties).withColumn("_at", F.monotonically_increasing_id())
     placed = stage(sorted_rows)
     placed = placed.withColumns({"_part": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND(_LOW_BITS)})
     parts = placed.groupBy("_part", "_group").agg(
@@ -45,8 +44,8 @@ def rank_with_totals(
     whole = Window.partitionBy("_group")  # a row for each partition that the group reaches
     before = F.coalesce(F.sum("_n").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     totals = sums.value([F.sum(f"_s{i}").over(whole) for i in range(sums.NUMBERS)])
-    offsets = stage(parts.select("_part", "_group", (before - F.col("_first") + 1).alias("_shift"), totals.alias(total)))
-    joined = placed.join(hinted(offsets), ["_part", "_group"])
+    offsets = parts.select("_part", "_group", (before - F.col("_first") + 1).alias("_shift"), totals.alias(total))
+    joined = placed.join(offsets, ["_part", "_group"])  # adaptive execution broadcasts the offsets where they are few
     return joined.withColumn(rank, (F.col("_row") + F.col("_shift")).cast("int")).drop("_group", "_at", "_part", "_row", "_shift")
 
 

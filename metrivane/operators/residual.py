@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from metrivane.config import DetectorConfig, Settings
 from metrivane.functions.scalars import all_present
-from metrivane.operators.joins import hinted
+from metrivane.operators.joins import hinted, small_enough
 from metrivane.operators.medians import exact_median
 from metrivane.session import stage
 
@@ -90,23 +90,26 @@ def moments(df: DataFrame, f: Features, cfg: DetectorConfig) -> DataFrame:
     s are their sums, q the sums of their products.
     """
     groups, k = list(cfg.group_columns), len(f.numeric)
-    train = df.where(training_rows(f)).select(
-        *groups, *f.dims, F.array(*numeric_columns(f).values(), F.col("actual_value").cast("double")).alias("_z")
-    )
-    one = train.groupBy(*groups).agg(F.array(*[F.avg(F.col("_z")[i]) for i in range(k + 1)]).alias("_mean"))
-    keyed = train.select(F.struct(*groups).alias("_group"), *f.dims, "_z")
-    means = stage(one.select(F.struct(*groups).alias("_of"), "_mean"))
-    rows = keyed.join(hinted(means), F.col("_group").eqNullSafe(F.col("_of"))).select(
-        "_group", *f.dims, "_mean", F.zip_with("_z", "_mean", lambda a, b: a - b).alias("_z")
+    z = [*numeric_columns(f).values(), F.col("actual_value").cast("double")]
+    train = df.where(training_rows(f)).select(F.struct(*groups).alias("_group"), *f.dims, *[c.alias(f"_z{i}") for i, c in enumerate(z)])
+    means = stage(train.groupBy(F.col("_group").alias("_of")).agg(*[F.avg(f"_z{i}").alias(f"_m{i}") for i in range(k + 1)]))
+    rows = train.join(hinted(means), F.col("_group").eqNullSafe(F.col("_of")))
+    rows = rows.withColumns({f"_z{i}": F.col(f"_z{i}") - F.col(f"_m{i}") for i in range(k + 1)})
+    products = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    # one row for each combination of members first, so that the sets below multiply few rows
+    cells = rows.groupBy("_group", *f.dims).agg(
+        F.count("*").alias("_n"),
+        *[F.max(f"_m{i}").alias(f"_m{i}") for i in range(k + 1)],
+        *[F.sum(f"_z{i}").alias(f"_s{i}") for i in range(k + 1)],
+        *[F.sum(F.col(f"_z{i}") * F.col(f"_z{j}")).alias(f"_q{i}_{j}") for i, j in products],
     )
     sets = [(), *[(d,) for d in f.dims], *[(a, b) for i, a in enumerate(f.dims) for b in f.dims[i + 1 :]]]
-    products = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-    summed = rows.groupingSets([["_group", *s] for s in sets], "_group", *f.dims).agg(
+    summed = cells.groupingSets([["_group", *s] for s in sets], "_group", *f.dims).agg(
         F.grouping_id().alias("_set"),
-        F.count("*").cast("double").alias("n"),
-        F.array(*[F.sum(F.col("_z")[i]) for i in range(k + 1)]).alias("s"),
-        F.array(*[F.sum(F.col("_z")[i] * F.col("_z")[j]) for i, j in products]).alias("q"),
-        F.first("_mean").alias("mean"),
+        F.sum("_n").cast("double").alias("n"),
+        F.array(*[F.sum(f"_s{i}") for i in range(k + 1)]).alias("s"),
+        F.array(*[F.sum(f"_q{i}_{j}") for i, j in products]).alias("q"),
+        F.array(*[F.max(f"_m{i}") for i in range(k + 1)]).alias("mean"),
     )
     first, second = F.lit(None).cast("string"), F.lit(None).cast("string")
     places: list[Column] = [F.lit(None).cast("int")] * 2
@@ -237,14 +240,15 @@ def score_ridge(df: DataFrame, model: DataFrame, f: Features, cfg: DetectorConfi
     rows without a group predict nothing.  A member without training rows has no weight."""
     groups = list(cfg.group_columns)
     base = model.where(F.col("dim").isNull()).select(*groups, F.col("n_train").alias("_n"), F.col("level").alias("_level"), F.col("weights").alias("_w"))
-    joined = df.join(hinted(base), groups, "left")
+    sized = F.broadcast if small_enough(model) else (lambda side: side)
+    joined = df.join(sized(base), groups, "left")
     fitted = F.col("_level")
     for at, expr in enumerate(numeric_columns(f).values()):
         fitted = fitted + expr * F.col("_w")[at]
     for at, dim in enumerate(f.dims):
         own = model.where(F.col("dim") == at)
         own = own.select(*groups, F.col("member").alias(f"_m{at}"), F.col("weight").alias(f"_w{at}"))
-        joined = joined.withColumn(f"_m{at}", F.col(dim).cast("string")).join(hinted(own), [*groups, f"_m{at}"], "left")
+        joined = joined.withColumn(f"_m{at}", F.col(dim).cast("string")).join(sized(own), [*groups, f"_m{at}"], "left")
         fitted = fitted + F.coalesce(f"_w{at}", F.lit(0.0))
     enough = F.coalesce(F.col("_n") >= cfg.min_train_rows, F.lit(False))
     predicted = F.when(all_present(groups), F.when(enough, fitted).otherwise(F.col("moving_baseline")))

@@ -7,8 +7,6 @@ ordered and compared as they are.  Exact for amounts from about 1e-28 to 1e55; o
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,14 +24,17 @@ def numbers(amount: Column | str) -> list[Column]:
 
 def value(sums: list[Column]) -> Column:
     """The double that sums of numbers stand for, rounded alike for equal totals."""
-    carried, clean = F.lit(0).cast("bigint"), []
-    for s in reversed(sums[1:]):
-        whole = s + carried
-        clean.append(whole.bitwiseAND(F.lit((1 << BITS) - 1)))
-        carried = F.shiftright(whole, BITS)
-    clean.append(sums[0] + carried)
-    parts = [c.cast("double") * 2.0 ** (BITS * (HIGHEST - i)) for i, c in enumerate(reversed(clean))]
-    return reduce(lambda a, b: a + b, parts)
+
+    def carry(done: Column, s: Column) -> Column:
+        """What is over 24 bits of the number before goes to this one."""
+        low = F.element_at(done, 1)
+        rest = F.slice(done, F.lit(2), F.size(done))
+        return F.concat(F.array(s + F.shiftright(low, BITS)), F.array(low.bitwiseAND(F.lit((1 << BITS) - 1))), rest)
+
+    low_first = list(reversed(sums))
+    clean = F.aggregate(F.array(*low_first[1:]), F.array(low_first[0]), carry)
+    worth = F.array(*[F.lit(2.0 ** (BITS * (HIGHEST - i))) for i in range(NUMBERS)])
+    return F.aggregate(F.zip_with(clean, worth, lambda n, w: n * w), F.lit(0.0), lambda a, x: a + x)
 
 
 def exact_sum(amount: Column | str) -> Column:

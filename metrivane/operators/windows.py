@@ -58,7 +58,7 @@ def _evaluate(df, partition, measures, order, guard=None) -> DataFrame:
 
 def ordered_avg(values: Column) -> Column:
     """The mean of an array, added up from the smallest value: the same for equal values in any order."""
-    total = F.aggregate(F.array_sort(values), F.lit(0.0), lambda a, v: a + v)
+    total = F.aggregate(F.sort_array(values), F.lit(0.0), lambda a, v: a + v)
     return F.try_divide(total, F.size(values))
 
 

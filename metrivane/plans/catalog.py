@@ -471,14 +471,18 @@ def train_split_date(spark, folder):
     return residual.split_date(panels.orders_panel(spark, folder), 0.70)
 
 
+def baselines(monitored: DataFrame) -> DataFrame:
+    return monitored.select("kpi_name", "moving_baseline")
+
+
 @query
 def baseline_median(spark, folder):
-    return shown(medians.exact_median(monitored_lines(spark, folder), ["kpi_name"], "moving_baseline"))
+    return shown(medians.exact_median(stage(baselines(monitored_lines(spark, folder))), ["kpi_name"], "moving_baseline"))
 
 
 @query
 def baseline_median_overall(spark, folder):
-    return shown(medians.exact_median(monitored_orders(spark, folder), [], "moving_baseline"), 3)
+    return shown(medians.exact_median(stage(baselines(monitored_orders(spark, folder))), [], "moving_baseline"), 3)
 
 
 @query
