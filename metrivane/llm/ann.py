@@ -5,7 +5,8 @@ searches over the graph so far propose neighbours, and pruning with a relaxed di
 ones.  Every query is searched in every shard, in blocks; the best of all shards are merged.
 
 The largest inner product is the smallest distance once every vector has one more component that
-brings all of them to the same norm.
+brings all of them to the same norm.  Shards hold vectors of about one norm (a factor of two) in a scale of their own, so that
+this component is never much longer than a vector and 32 bits tell neighbours apart whatever the norms of the table.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metrivane.llm.common import ship, stored, table
-from metrivane.operators.joins import with_one_row
 
 SHARD = 8192  # nodes of a shard, about
 DEGREE = 40
@@ -28,15 +28,19 @@ RELAX = 1.2
 BLOCK = 20_000  # queries that a task searches in a shard
 STEP = 256
 K = 20
-INDEX = "dim int, shard int, node long, vector array<double>, ids array<long>, tail double, edges array<int>"
+INDEX = "dim int, shard long, node long, vector array<double>, ids array<long>, edges array<int>"
+SHIFT = 0.3  # of the bands of norms, so that unit vectors do not lie on an edge
+EVEN = 2.0 ** (2 * (1 - SHIFT)) * 1.0001  # square of the norm, in a band's scale, to which vectors are brought
 
 
-def beam_search(graph: np.ndarray, data: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int):
+def beam_search(graph: np.ndarray, data: np.ndarray, queries: np.ndarray, entry: np.ndarray, width: int, norms: np.ndarray | None = None):
     """(nodes, distances) of the ``width`` nearest nodes met from ``entry`` for each query, nearest first.
 
+    ``norms`` are the squares of the nodes' norms; with zeros the nearest are those of the largest inner product.
+
     All queries go one step at a time: each expands the nearest node of its beam that it has not expanded."""
     q, n = len(queries), len(data)
-    norms = (data * data).sum(1)
+    norms = (data * data).sum(1) if norms is None else norms
     seen = np.zeros((q, n + 1), bool)  # the last column takes what is no new node
     nodes = np.full((q, width), -1, np.int64)
     dist = np.full((q, width), np.inf, np.float32)
@@ -148,9 +152,16 @@ def matrix(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).astype(dtype).reshape(len(column), -1)
 
 
+def band_scaled(vectors: np.ndarray, shard: int) -> np.ndarray:
+    """Vectors in the scale of their shard's band, which is in the upper bits of its number."""
+    return np.ldexp(vectors, -(shard >> 32))
+
+
 def build_shard(rows: pa.Table) -> pa.Table:
     rows = rows.sort_by("node")
-    data = np.concatenate([matrix(rows.column("vector"), np.float32), rows.column("tail").to_numpy().astype(np.float32)[:, None]], 1)
+    scaled = band_scaled(matrix(rows.column("vector"), np.float64), rows.column("shard")[0].as_py())
+    tail = np.sqrt(np.maximum(EVEN - (scaled * scaled).sum(1), 0.0))
+    data = np.concatenate([scaled, tail[:, None]], 1).astype(np.float32)
     graph, entry = build_graph(data)
     order = np.arange(len(data))  # the entry is named by its place: the first edge list ends with it
     edges = np.concatenate([graph, np.full((len(data), 1), entry[0], np.int32)], 1)
@@ -165,19 +176,19 @@ def search_shard(k: int):
             return schema.empty_table()
         shard = shard.sort_by("node")
         exact = matrix(shard.column("vector"), np.float64)
-        data = np.concatenate([exact, shard.column("tail").to_numpy()[:, None]], 1).astype(np.float32)
+        data = band_scaled(exact, shard.column("shard")[0].as_py()).astype(np.float32)
         edges = matrix(shard.column("edges"), np.int32)
         graph, entry = edges[:, :-1], edges[:1, -1]
         queries, ids = matrix(asked.column("vector"), np.float64), asked.column("query").to_numpy()
         out_q, out_s, out_n = [], [], []
         for part in np.array_split(np.arange(len(ids)), math.ceil(len(ids) / STEP)):
-            wanted = np.concatenate([queries[part], np.zeros((len(part), 1))], 1).astype(np.float32)
-            found, _ = beam_search(graph, data, wanted, entry, min(BEAM, max(len(data), 1)))
+            # a query's own scale and the component that evens out the norms, 0 in a query, do not change its order
+            wanted = (queries[part] / np.abs(queries[part]).max(1, keepdims=True)).astype(np.float32)
+            found, _ = beam_search(graph, data, wanted, entry, min(BEAM, max(len(data), 1)), np.zeros(len(data), np.float32))
             scores = np.einsum("qnd,qd->qn", exact[np.maximum(found, 0)], queries[part])
-            scores[found < 0] = -np.inf
-            top = np.argsort(-scores, axis=1, kind="stable")[:, : k + 1]
+            top = np.argsort(np.where(found < 0, np.inf, -scores), axis=1, kind="stable")[:, : k + 1]
             value = np.take_along_axis(scores, top, 1)
-            good = np.isfinite(value)
+            good = np.take_along_axis(found, top, 1) >= 0
             out_q.append(np.repeat(ids[part], good.sum(1)))
             out_s.append(value[good])
             out_n.append(np.take_along_axis(found, top, 1)[good])
@@ -195,22 +206,24 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def build_index(rows: DataFrame, k: int = K) -> DataFrame:
-    """The stored graphs of all rows: dim, shard, node, vector, ids, tail, edges.
+    """The stored graphs of all rows: dim, shard, node, vector, ids, edges.
 
     A node is a distinct vector; ids are its k + 1 smallest, since equal scores go by id and a query
     may be one of them.  The limit is applied within map tasks first, so a vector that a third of all rows share is no
-    hot group.  tail is the component that evens out the norms."""
+    hot group.  The upper bits of shard name the band of norms, a power of two."""
     ship(rows.sparkSession)
     first = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= k + 1)
     nodes = few.groupBy("vector").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    nodes = nodes.select("vector", "ids", F.col("ids")[0].alias("node"), F.size("vector").alias("dim"), square.alias("square"))
+    peak = F.array_max(F.transform("vector", F.abs))
+    square = F.aggregate(F.transform("vector", lambda x: F.pow(x / F.col("peak"), 2)), F.lit(0.0), lambda a, x: a + x)
+    nodes = nodes.withColumn("peak", peak).withColumn("band", F.floor(F.log2("peak") + F.log2(square) / 2 + SHIFT))
+    nodes = nodes.select("vector", "ids", F.col("ids")[0].alias("node"), F.size("vector").alias("dim"), "band")
     nodes = stored(nodes, "ann-nodes")
-    shards = max(1, math.ceil(nodes.count() / SHARD))
-    dealt = with_one_row(nodes, nodes.agg(F.max("square").alias("most"))).select(
-        "dim", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "node", "vector", "ids",
-        F.sqrt(F.greatest(F.col("most") - F.col("square"), F.lit(0.0))).alias("tail"),
+    # a band is a power of two, so there are some two thousand at most
+    sizes = nodes.groupBy("band").agg(F.ceil(F.count("*") / SHARD).alias("shards"))
+    dealt = nodes.join(F.broadcast(sizes), "band").select(
+        "dim", (F.shiftleft("band", 32) + F.pmod(F.xxhash64("vector"), F.col("shards"))).alias("shard"), "node", "vector", "ids"
     )
     return stored(dealt.groupBy("dim", "shard").applyInArrow(build_shard, INDEX), "ann-index")
 
