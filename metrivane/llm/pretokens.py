@@ -7,8 +7,6 @@ that holds any other byte is left whole, and so is one with the opening of a spe
 
 from __future__ import annotations
 
-import json
-
 import numpy as np
 
 SPACE, LETTER, DIGIT, OTHER = 0, 1, 2, 3
@@ -27,13 +25,10 @@ _ONE[np.frombuffer(b"stmd", np.uint8)] = True
 _TWO = tuple((x[0], x[1]) for x in (b"re", b"ve", b"ll"))
 
 
-def applies(path: str) -> bool:
-    """Whether a tokenizer file has the word vocabulary's rules."""
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    steps = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers", [])]
-    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
-    return steps == ["NFC", "Replace", "Lowercase"] and cuts == PATTERN
+def applies(library) -> bool:
+    """Whether a tokenizer has the word vocabulary's rules."""
+    steps, cuts = repr(library.normalizer), repr(library.pre_tokenizer)
+    return all(x in steps for x in ("NFC()", r'Regex("\s+")', "Lowercase()")) and PATTERN in cuts
 
 
 def _kinds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

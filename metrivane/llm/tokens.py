@@ -120,7 +120,7 @@ class UnitEncoder:
         self.kept = np.zeros((1 << log_slots, WIDTH), np.uint16 if self.library.get_vocab_size() <= 65536 else np.uint32)
 
         self.quick = byte_pair_encoder(ranks) if ranks else None
-        self.words = pretokens.applies(path)
+        self.words = pretokens.applies(self.library)
         if self.words:  # an id that ends a pre-token has the mark of it
             self.last = np.array([self.library.id_to_token(i).endswith("</w>") for i in range(self.library.get_vocab_size())])
 
@@ -137,12 +137,16 @@ class UnitEncoder:
 
     def unit_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the units in a row and their numbers; plain pre-tokens are encoded many to a line."""
-        plain = np.array([self.words and t.isascii() and "<|" not in t for t in texts], bool)
+        if not self.words:
+            found = self.library_ids(texts)
+            sizes = np.array([len(x) for x in found], np.int64)
+            return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+        plain = np.array([t.isascii() and "<|" not in t for t in texts], bool)
         own = [t for t, x in zip(texts, plain.tolist()) if x]
         lines = [" ".join(own[i : i + LINE]) for i in range(0, len(own), LINE)]
         found = self.library.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32, sum(map(len, found)))
-        ends = np.flatnonzero(self.last[ids]) + 1 if self.words else np.zeros(0, np.int64)
+        ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(own):  # never, by the tokenizer's rules
             plain[:] = False
             ids, ends = ids[:0], ends[:0]
