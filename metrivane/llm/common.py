@@ -33,8 +33,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z and nothing else."""
-    return F.translate(text, UPPER, UPPER.lower())
+    """A-Z to a-z and nothing else.
+
+    ``lower`` does no more than that in a text of ASCII alone, and works on its bytes; ``translate`` makes a string of every character.
+    """
+    plain = F.octet_length(text) == F.length(text)
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

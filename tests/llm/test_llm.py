@@ -95,6 +95,19 @@ def test_exact_dedup_with_colliding_digests(spark):
     assert sorted(map(tuple, same.collect()), key=str) == sorted(map(tuple, exact_dedup.classify(docs(spark)).collect()), key=str)
 
 
+def test_ascii_lower_without_a_string_for_every_character(spark):
+    from pyspark.sql import functions as F
+
+    from metrivane.llm.common import ascii_lower
+
+    texts = ["", None, "ABC xyz 09 [\\]^_`{|}~@Z", "\x00\x01\t\r\nQ\x7f", "É İIı ΑΣ ß ẞ K Å", "A\u0300 日本 ＡＢ 🙂X", "x" * 3000 + "Y"]
+    texts += ["".join(chr(c) for c in range(a, a + 512) if not 0xD800 <= c < 0xE000) for a in range(0, 0x12000, 512)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", ascii_lower(F.col("t")).alias("low"))
+    for t, low in df.collect():
+        assert low == (None if t is None else re.sub("[A-Z]+", lambda m: m.group().lower(), t))
+    assert "lower(" in df._jdf.queryExecution().optimizedPlan().toString()  # plain texts take the way over bytes
+
+
 def luhn(s):
     d = [int(c) for c in re.sub("[^0-9]", "", s)][::-1]
     return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
