@@ -26,6 +26,8 @@ LEAST = 100  # occurrences of a frequent one
 TOP = 2000  # phrases of a language in the report
 SLICE = 1 << 20  # bytes worked on at a time
 CHUNK = 3 << 20  # fingerprints of a chunk before it is sent
+SPELL = 1 << 20  # bytes of a language that are spelled at a time
+COMPARED = 1 << 18  # bytes of phrases compared at a time
 FEWEST_BITS, MOST_BITS, BITS_EACH = 16, 27, 16  # of a bit map: log2 at least and at most, and those for each fingerprint
 UNKNOWN = "und"
 SPELLED = "lang string, phrase string, size int, n long, doc long"
@@ -97,9 +99,8 @@ class Runs:
         x, y = self.starts[at], self.starts[first]
         length, other = self.ends[at + size - 1] - x, self.ends[first + size - 1] - y
         same = length == other
-        own, length = np.flatnonzero(same), length[same]
-        equal = self.data[ragged(x[own], length)] == self.data[ragged(y[own], length)]
-        same[own] &= np.add.reduceat(equal, np.cumsum(length) - length) == length if len(own) else True
+        own = np.flatnonzero(same & (x != y))
+        same[own] = same_bytes(self.data, x[own], y[own], length[own])
         if same.all():
             return at[begin], numbers
         runs: dict[bytes, list[int]] = {}
@@ -114,6 +115,18 @@ class Runs:
         return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data)).cast(pa.string())
 
 
+def same_bytes(data: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether the spans of ``data`` from ``x`` and from ``y`` are equal; they have at least a byte each."""
+    out, ends, first = np.ones(len(x), bool), np.cumsum(length), 0
+    while first < len(x):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - length[first] + COMPARED)))
+        n = length[first:last]
+        equal = data[ragged(x[first:last], n)] == data[ragged(y[first:last], n)]
+        out[first:last] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+        first = last
+    return out
+
+
 def hash_text(text: str) -> int:
     data = np.frombuffer(text.encode() + b"\0", np.uint8)
     return int(sum_hashes(hash_sums(data), np.array([0]), np.array([len(data)]))[0])
@@ -138,22 +151,32 @@ def _by_lang(batches):
 def _count_task(sizes: list[int], maps):
     def run(batches):
         known = {s: m.value for s, m in maps.items()}
-        waiting, n = [], 0
+        waiting, n = np.empty(CHUNK, np.uint64), 0
 
         def send():
-            prints, counts = np.unique(np.concatenate(waiting), return_counts=True)
-            for i in range(0, len(prints), 1 << 18):
-                part = slice(i, i + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(prints[part].view(np.int64)), pa.array(counts[part])], names=["print", "n"])
+            prints = waiting[:n]
+            prints.sort()
+            first = 0
+            while first < n:  # a part ends where a fingerprint does
+                last = min(n, first + (1 << 18))
+                last = int(np.searchsorted(prints, prints[last - 1], side="right"))
+                own = prints[first:last]
+                begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                counts = np.diff(np.append(begin, len(own)))
+                yield pa.RecordBatch.from_arrays([pa.array(own[begin].view(np.int64)), pa.array(counts)], names=["print", "n"])
+                first = last
 
         for lang, _, texts in _by_lang(batches):
             runs = Runs(texts, lang)
             for size in sizes:
-                waiting.append(runs.prints(runs.candidates(size, known), size))
-                n += len(waiting[-1])
-            if n >= CHUNK:
-                yield from send()
-                waiting, n = [], 0
+                prints = runs.prints(runs.candidates(size, known), size)
+                while len(prints):
+                    part, prints = prints[: CHUNK - n], prints[CHUNK - n :]
+                    waiting[n : n + len(part)] = part
+                    n += len(part)
+                    if n == CHUNK:
+                        yield from send()
+                        n = 0
         if n:
             yield from send()
 
@@ -163,10 +186,10 @@ def _count_task(sizes: list[int], maps):
 def _spell_task(maps):
     def run(batches):
         known = {s: m.value for s, m in maps.items()}
-        waiting, size = {}, 0
+        waiting = {}
 
         def send(lang):
-            texts, docs = waiting.pop(lang)
+            texts, docs, _ = waiting.pop(lang)
             runs = Runs(texts, lang)
             ids = np.array([np.iinfo(np.int64).max if d is None else d for d in docs], np.int64)
             words = np.searchsorted(runs.edges, runs.starts, side="right")  # the text of every word
@@ -182,14 +205,15 @@ def _spell_task(maps):
                     yield _rows(lang, runs.spelled(first, k), k, numbers, ids[words[first]])
 
         for lang, ids, texts in _by_lang(batches):
-            have = waiting.setdefault(lang, ([], []))
+            have = waiting.setdefault(lang, ([], [], []))
             have[0].extend(texts)
             have[1].extend(ids.to_pylist())
-            size += sum(map(len, texts))
-            if size >= CHUNK * 4:
+            have[2].append(sum(map(len, texts)))
+            if sum(have[2]) >= SPELL:
+                yield from send(lang)
+            elif sum(sum(x[2]) for x in waiting.values()) >= CHUNK * 4:
                 for key in list(waiting):
                     yield from send(key)
-                size = 0
         for key in list(waiting):
             yield from send(key)
 
@@ -218,7 +242,9 @@ def frequent_maps(rows: DataFrame, least: int) -> dict:
     """Broadcast bit maps of the fingerprints that occur ``least`` times, by size; the last holds two sizes."""
     context, maps = rows.sparkSession.sparkContext, {}
     for sizes in [*[[s] for s in range(1, LONGEST - 1)], [LONGEST - 1, LONGEST]]:
-        counts = rows.mapInArrow(_count_task(sizes, dict(maps)), "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
+        # a chunk has each fingerprint once, so they are dealt out before they are added up
+        dealt = rows.mapInArrow(_count_task(sizes, dict(maps)), "print long, n long").repartition("print")
+        counts = dealt.groupBy("print").agg(F.sum("n").alias("n"))
         frequent = stored(counts.where(F.col("n") >= least).select("print"), "frequent-prints")
         maps[sizes[0]] = context.broadcast(bit_map(frequent, frequent.count()))
     return maps

@@ -3,10 +3,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -237,3 +240,24 @@ def test_full_bit_map_changes_nothing(spark, monkeypatch):
     rows = spoken(9, 60)
     got = phrases.collocations(frame(spark, rows), 3, 50)
     assert sorted(map(tuple, got.collect())) == sorted(phrases_by_hand(rows, 3, 50))
+
+
+def test_spelling_holds_little_at_a_time():
+    """14 MB of one language, all of whose runs may be frequent."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(words, k=25_000)) for _ in range(10)] * 14
+    rows = [pa.RecordBatch.from_pydict({"lang": ["en"], "doc": [i], "text": [t]}) for i, t in enumerate(texts)]
+    full = {k: SimpleNamespace(value=np.full(1 << 10, 2**64 - 1, np.uint64)) for k in range(1, phrases.LONGEST)}
+    assert sum(map(len, texts)) > 14_000_000
+    tracemalloc.start()
+    try:
+        singles = Counter()
+        for batch in phrases._spell_task(full)(iter(rows)):
+            if batch.column(2)[0].as_py() == 1:
+                singles.update(dict(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert singles == Counter(w for t in texts for w in t.split())
+    assert most < 600 << 20, most
