@@ -41,6 +41,10 @@ _STRETCH = np.round(256 * np.log(_P / (1 - _P))).astype(np.int64)
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256.0))), 16, 4080).astype(np.int64)
 
 
+def _between(x: np.ndarray, least: int, most: int) -> np.ndarray:
+    return np.minimum(np.maximum(x, least), most)
+
+
 class BadFile(ValueError):
     """A token file that breaks the format."""
 
@@ -107,7 +111,7 @@ class Frequencies:
         size[np.argmax(size)] += (1 << self.bits) - int(size.sum())
         self.size, self.begin = size, np.cumsum(size) - size
         if self.decoding:
-            self.symbol = np.repeat(np.arange(len(size)), size)
+            self.symbol = np.repeat(np.arange(len(size), dtype=np.int32), size)
 
 
 class Mixer:
@@ -124,24 +128,23 @@ class Mixer:
         self.mix()
 
     def mix(self):
-        two, one, after = (np.clip(4096 * h // n, 1, 4095) for h, n in zip(self.held, self.tried))
+        two, one, after = (_between(4096 * h // n, 1, 4095) for h, n in zip(self.held, self.tried))
         self.two, self.one = _STRETCH[two][:, None], _STRETCH[one].reshape(1, -1, 2)
         both = (self.weight[0] * self.two[:, :, None] + self.weight[1] * self.one) >> 16
-        self.p = _SQUASH[np.clip(both, -2048, 2047) + 2048]
+        self.p = _SQUASH[_between(both, -2048, 2047) + 2048]
         first = self.p << 4
-        second = ((65536 - first) * np.clip(after, 16, 4080)[None, :, None]) >> 12
+        second = ((65536 - first) * _between(after, 16, 4080)[None, :, None]) >> 12
         second[:, :, 1] = 0
         self.first, self.second = first.ravel(), second.ravel()
 
     def learn(self, state: np.ndarray, two: np.ndarray, one: np.ndarray):
         """The states of a step and whether order 2, or else order 1, was right in them."""
         size, shape = self.first.size, self.p.shape
-        n = np.bincount(state, minlength=size).reshape(shape)
-        hit = np.bincount(state[two], minlength=size).reshape(shape)
-        other = np.bincount(state[one], minlength=size).reshape(shape)
+        counts = np.bincount(state + size * two + 2 * size * one, minlength=3 * size).reshape(3, *shape)
+        n, hit, other = counts.sum(0), counts[1], counts[2]
         error = (hit << 12) - n * self.p
-        slope = [(self.two[:, :, None] * error).sum((0, 1)), (self.one * error).sum((0, 1))]
-        self.weight = np.clip(self.weight + (np.stack(slope) // len(state) >> 4), -(1 << 18), 1 << 18)
+        slope = [self.two[:, 0] @ error.sum(1), (self.one[0] * error.sum(0)).sum(0)]
+        self.weight = _between(self.weight + (np.stack(slope) // len(state) >> 4), -(1 << 18), 1 << 18)
         missed = (n - hit)[:, :, 0].sum(0)
         news = [(n.sum((1, 2)), hit.sum((1, 2))), (n.sum(0).ravel(), (hit + other).sum(0).ravel()), (missed, other[:, :, 0].sum(0))]
         for k, (some, right) in enumerate(news):
@@ -209,9 +212,20 @@ def shape_of(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def alphabet_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different ids, the place of every id among them); ids of a usual vocabulary are not sorted."""
+    if int(ids.max()) > max(len(ids), 1 << 16):
+        return np.unique(ids, return_inverse=True)
+    seen = np.zeros(int(ids.max()) + 1, np.int64)
+    seen[ids] = 1
+    alphabet = np.flatnonzero(seen)
+    seen[alphabet] = np.arange(len(alphabet))
+    return alphabet.astype(ids.dtype), seen[ids]
+
+
 def pack_ids(ids: np.ndarray) -> bytes:
     """A block of ids, at least one."""
-    alphabet, symbols = np.unique(ids, return_inverse=True)
+    alphabet, symbols = alphabet_of(ids)
     lanes, steps = shape_of(len(ids))
     rows = np.zeros(lanes * steps, np.int64)
     rows[: len(ids)] = symbols

@@ -21,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 LONGEST = 64  # bytes of a unit that may be cached; the hash of so few bytes has no built collisions
 WIDTH = 8  # ids of a cached unit at most
 LINE = 64  # pre-tokens that are encoded together
-PIECE = 2 << 20  # bytes worked on at a time
+PIECE = 1 << 18  # bytes worked on at a time: what a processor's cache holds
 
 _rng = np.random.default_rng(20240229)
 _TABLE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -37,8 +37,9 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
+    """Powers of the base and of its inverse, at least ``n`` of each; short texts use those made for a long one."""
     size = 1 << max(12, int(n).bit_length())
+    size = max([x for x in _powers if size <= x <= 8 * PIECE], default=size)
     if size not in _powers:
         _powers.clear()
         both = []

@@ -108,6 +108,36 @@ def test_ascii_lower_without_a_string_for_every_character(spark):
     assert "lower(" in df._jdf.queryExecution().optimizedPlan().toString()  # plain texts take the way over bytes
 
 
+def test_blocks_name_their_ids_without_sorting():
+    rng = np.random.default_rng(5)
+    for ids in (np.array([7], np.uint32), rng.integers(0, 49_000, 5000).astype(np.uint32), rng.integers(0, 2**32, 300, dtype=np.uint32)):
+        alphabet, symbols = token_files.alphabet_of(ids)
+        want, places = np.unique(ids, return_inverse=True)
+        assert alphabet.dtype == ids.dtype and np.array_equal(alphabet, want) and np.array_equal(symbols, places)
+        assert np.array_equal(token_files.unpack_ids(io.BytesIO(token_files.pack_ids(ids))), ids)
+
+
+def test_powers_made_for_a_long_piece_serve_short_ones():
+    from metrivane.llm import tokens
+
+    long = tokens.powers(300_000)
+    assert tokens.powers(10)[0] is long[0] and tokens.powers(200_000)[1] is long[1]
+    assert len(tokens.powers(16 * tokens.PIECE)[0]) > 16 * tokens.PIECE  # a very long one is not kept for short ones
+    assert len(tokens.powers(10)[0]) < tokens.PIECE
+
+
+def test_long_texts_in_small_pieces():
+    from tokenizers import Tokenizer
+
+    from metrivane.llm import tokens
+
+    texts = ["The quick brown fox's 12 jumps, É日本 <|x|> don't. " * 20_000, "x", "", "word " * 5]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        flat, n = tokens.UnitEncoder(P.path(name), log_slots=12).encode([t.encode() for t in texts])
+        want = [e.ids for e in Tokenizer.from_file(P.path(name)).encode_batch(texts, add_special_tokens=False)]
+        assert n.tolist() == list(map(len, want)) and flat.tolist() == [i for w in want for i in w]
+
+
 def luhn(s):
     d = [int(c) for c in re.sub("[^0-9]", "", s)][::-1]
     return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
