@@ -27,15 +27,18 @@ from pyspark.sql import functions as F
 from metrivane.llm.common import shared_folder, ship, stored, table, text_slices
 from metrivane.llm.tokens import encoder
 
-MAGIC = b"MVTOK2\r\n"
+MAGIC = b"MVTOK3\r\n"
 HEAD = struct.Struct("<6I")
-BLOCK = 1 << 20  # ids of a block
-LANES = 4096  # lanes of a block at most
+BLOCK = 1 << 21  # ids of a block
+LANES = 8192  # lanes of a block at most
 STEPS = 256  # ids of a lane at least, where the block has them
-SLOTS = 1 << 18  # contexts of order 2 that a block tells apart
+SLOT_BITS = 18  # a block tells 2^18 contexts of order 2 apart
 SURE = 7  # confidence of a prediction at most
 END = 2
-LEAST, WORD, LOW = 1 << 24, 24, (1 << 24) - 1
+LEAST, WORD, LOW, DIGIT = 1 << 32, 16, (1 << 32) - 1, (1 << 16) - 1
+REST = 64  # of 65,536: frequency of a miss at least; so a step can go on to order 0 in the same interval
+_sure = np.arange(SURE + 1)
+_CHANGE = np.concatenate([np.where(_sure > 1, -(_sure + 1 >> 1), 0), _sure < SURE]).astype(np.int32)  # wrong, right
 _P = np.clip(np.arange(4096), 1, 4095) / 4096
 _STRETCH = np.round(256 * np.log(_P / (1 - _P))).astype(np.int64)
 _SQUASH = np.clip(np.round(4096 / (1 + np.exp(-np.arange(-2048, 2048) / 256.0))), 16, 4080).astype(np.int64)
@@ -50,49 +53,45 @@ class BadFile(ValueError):
 
 
 class Coder:
-    """Range coders of many lanes with an interval of 48 bits and words of 24.
+    """Range coders of many lanes with an interval of 48 bits and words of 16.
 
-    The encoder keeps a carry in the 25th bit of a word and hands it on at the end.
+    The encoder keeps a carry in the 17th bit of a word and hands it on at the end.
     """
 
     def __init__(self, lanes: int, steps: int, words: np.ndarray | None = None):
         self.lanes, self.decoding = lanes, words is not None
-        self.room = 2 * steps + 4  # a step codes two symbols at most, a symbol gives a word at most
-        self.words = np.zeros(self.room * lanes, np.int64) if words is None else words.ravel()
+        self.room = 2 * steps + 4  # a step gives two words at most
+        self.words = np.zeros(self.room * lanes, np.int32) if words is None else words.ravel()
         self.range = np.full(lanes, 1 << 48, np.int64)
         self.low = np.zeros(lanes, np.int64)  # decoding: the code's distance from it
         self.at = np.arange(lanes)  # place of the next word; those of a lane are ``lanes`` apart
         if self.decoding:
-            self.low = (self.words[:lanes] << WORD) | self.words[lanes : 2 * lanes]
-            self.at = self.at + 2 * lanes
-
-    def narrow(self, own, part, begin, size):
-        """Go on in the ``size`` parts from ``begin``, in the lanes ``own`` (a slice or places)."""
-        width = part * size
-        low = self.low[own] - begin * part if self.decoding else self.low[own] + begin * part
-        short = np.flatnonzero(width < LEAST)
-        if len(short):
-            lanes = short if isinstance(own, slice) else own[short]
-            at = self.at[lanes]
+            for _ in range(3):
+                self.low = (self.low << WORD) | self.words[self.at]
+                self.at += lanes
+
+    def refill(self):
+        """Words out or in until every lane's interval is wide enough again."""
+        short = np.flatnonzero(self.range < LEAST)
+        while len(short):
+            at, low, width = self.at[short], self.low[short], self.range[short] << WORD
             if self.decoding:
-                low[short] = (low[short] << WORD) | self.words[at]
+                low = (low << WORD) | self.words[at]
             else:
-                out = low[short]
-                self.words[at] = out >> WORD
-                low[short] = (out & LOW) << WORD
-            width[short] <<= WORD
-            self.at[lanes] = at + self.lanes
-        self.low[own], self.range[own] = low, width
+                self.words[at] = low >> 32
+                low = (low & LOW) << WORD
+            self.at[short], self.low[short], self.range[short] = at + self.lanes, low, width
+            short = short[width < LEAST]
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """(words of every lane, all words lane by lane)."""
-        self.words[self.at] = (self.low + LOW) >> WORD
+        self.words[self.at] = (self.low + LOW) >> 32
         words, counts = self.words.reshape(self.room, self.lanes), self.at // self.lanes + 1
         words = words[: counts.max()]
         for j in range(len(words) - 1, 0, -1):
             words[j - 1] += words[j] >> WORD
-            words[j] &= LOW
-        return counts, words.T[np.arange(len(words)) < counts[:, None]]
+            words[j] &= DIGIT
+        return counts, np.ascontiguousarray(words.T)[np.arange(len(words)) < counts[:, None]]
 
 
 class Frequencies:
@@ -134,17 +133,19 @@ class Mixer:
         self.p = _SQUASH[_between(both, -2048, 2047) + 2048]
         first = self.p << 4
         second = ((65536 - first) * _between(after, 16, 4080)[None, :, None]) >> 12
+        second = np.minimum(second, 65536 - REST - first)
         second[:, :, 1] = 0
-        self.first, self.second = first.ravel(), second.ravel()
+        first, second = first.ravel(), second.ravel()
+        self.begin = np.concatenate([first + second, np.zeros_like(first), first])  # of a miss, order 2, order 1
+        self.size = np.concatenate([65536 - first - second, first, second])
 
-    def learn(self, state: np.ndarray, two: np.ndarray, one: np.ndarray):
-        """The states of a step and whether order 2, or else order 1, was right in them."""
-        size, shape = self.first.size, self.p.shape
-        counts = np.bincount(state + size * two + 2 * size * one, minlength=3 * size).reshape(3, *shape)
+    def learn(self, cases: np.ndarray):
+        """The states of a step, in the first third where both orders missed, in the second where order 2 was right, else in the last."""
+        counts = np.bincount(cases, minlength=3 * self.p.size).reshape(3, *self.p.shape)
         n, hit, other = counts.sum(0), counts[1], counts[2]
         error = (hit << 12) - n * self.p
         slope = [self.two[:, 0] @ error.sum(1), (self.one[0] * error.sum(0)).sum(0)]
-        self.weight = _between(self.weight + (np.stack(slope) // len(state) >> 4), -(1 << 18), 1 << 18)
+        self.weight = _between(self.weight + (np.stack(slope) // len(cases) >> 4), -(1 << 18), 1 << 18)
         missed = (n - hit)[:, :, 0].sum(0)
         news = [(n.sum((1, 2)), hit.sum((1, 2))), (n.sum(0).ravel(), (hit + other).sum(0).ravel()), (missed, other[:, :, 0].sum(0))]
         for k, (some, right) in enumerate(news):
@@ -153,56 +154,68 @@ class Mixer:
         self.mix()
 
 
-def _learned(table: np.ndarray, places: np.ndarray, entry: np.ndarray, sure: np.ndarray, right: np.ndarray, value: np.ndarray):
+def _learned(table: np.ndarray, places: np.ndarray, entry: np.ndarray, sure: np.ndarray, right: np.ndarray, fresh: np.ndarray):
     """Entries are the predicted symbol and its confidence; of lanes at one place the last one's entry stays."""
-    other = np.where(sure > 1, entry - (sure + 1 >> 1), value << 3)
-    table[places] = np.where(right, entry + (sure < SURE), other)
+    kind = sure + (right.view(np.int8) << 3)
+    now = entry + _CHANGE.take(kind)
+    np.copyto(now, fresh, where=kind < 2)
+    table[places] = now
 
 
 def code_steps(coder: Coder, symbols: int, steps: int, rows: np.ndarray | None) -> np.ndarray:
     """Code the symbols (a row for every step); with ``rows`` None they are decoded and returned."""
-    lanes, every = coder.lanes, slice(None)
-    out = np.zeros((steps, lanes), np.int64) if rows is None else rows
-    after_two, after_one = np.zeros(SLOTS, np.int64), np.zeros(symbols, np.int64)
+    lanes = coder.lanes
+    out = np.zeros((steps, lanes), np.int32) if rows is None else rows
+    after_two, after_one = np.zeros(1 << SLOT_BITS, np.int32), np.zeros(symbols, np.int32)
     mixer, zero = Mixer(), Frequencies(symbols, rows is None)
-    one, two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+    states = mixer.p.size
+    value, one = np.zeros(lanes, np.int32), np.zeros(lanes, np.int64)
+    before = np.zeros(lanes, np.uint32)  # what the id before the last one adds to a place
     for t in range(steps):
-        place = ((one * 0x9E3779B1 + two * 0x85EBCA6B) >> 15) & (SLOTS - 1)
-        e2, e1 = after_two[place], after_one[one]
-        g2, g1, c2, c1 = e2 >> 3, e1 >> 3, e2 & SURE, e1 & SURE
-        state = (c2 << 4) | (c1 << 1) | (g1 == g2)
-        f2, f1 = mixer.first[state], mixer.second[state]
-        part = coder.range >> 16
+        last = value.view(np.uint32)
+        place = (last * np.uint32(0x9E3779B1) + before >> np.uint32(32 - SLOT_BITS)).astype(np.int64)
+        e2, e1 = after_two.take(place), after_one.take(one)
+        g2, g1 = e2 >> 3, e1 >> 3
+        c2, c1 = (e2 & SURE).astype(np.int8), (e1 & SURE).astype(np.int8)
+        state = (c2 << 4) + (c1 << 1) + (g1 == g2).view(np.int8)  # below 128
+        case, part = state.astype(np.int64), coder.range >> 16
         if rows is None:
-            edge = part * f2
-            hit2 = coder.low < edge
-            miss = coder.low >= edge + part * f1
+            miss = coder.low >= part * mixer.begin.take(case)
+            hit2 = coder.low < part * mixer.size.take(case + states)
             hit1 = ~(hit2 | miss)
+            value = np.where(hit2, g2, g1)
         else:
             value = rows[t]
-            hit2 = g2 == value
-            hit1 = (g1 == value) & ~hit2
+            hit2, hit1 = g2 == value, g1 == value
             miss = ~(hit2 | hit1)
-        begin = np.where(hit2, 0, np.where(hit1, f2, f2 + f1))
-        coder.narrow(every, part, begin, np.where(hit2, f2, np.where(hit1, f1, 65536 - f2 - f1)))
+        case += np.where(hit2, np.int8(1), hit1.view(np.int8) << 1) * np.int64(states)
+        begin, size = part * mixer.begin.take(case), part * mixer.size.take(case)
+        low = coder.low - begin if rows is None else coder.low + begin
         rest = np.flatnonzero(miss)
-        if rows is None:
-            value = np.where(hit2, g2, g1)
         if len(rest):
-            part = coder.range[rest] >> zero.bits
-            if rows is None:
-                value[rest] = zero.symbol[np.minimum(coder.low[rest] // part, len(zero.symbol) - 1)]
-            own = value[rest]
-            coder.narrow(rest, part, zero.begin[own], zero.size[own])
+            part = size.take(rest) >> zero.bits
+            if rows is None:  # a double holds numbers of 48 bits, and their quotient's whole part is right
+                there = (low.take(rest) / part).astype(np.int64)
+                own = zero.symbol.take(np.minimum(there, len(zero.symbol) - 1))
+                value[rest] = own
+                low[rest] -= part * zero.begin.take(own)
+            else:
+                own = value.take(rest)
+                low[rest] += part * zero.begin.take(own)
+            size[rest] = part * zero.size.take(own)
             zero.learn(own)
+        coder.low, coder.range = low, size
+        coder.refill()
         if rows is None:
             out[t] = value
+            hit2, hit1 = g2 == value, g1 == value
         if t % 16 == 0 or t in (1, 2, 4, 8):
             zero.refresh()
-        mixer.learn(state, hit2, hit1)
-        _learned(after_two, place, e2, c2, g2 == value, value)
-        _learned(after_one, one, e1, c1, g1 == value, value)
-        two, one = one, value
+        mixer.learn(case)
+        fresh = value << 3
+        _learned(after_two, place, e2, c2, hit2, fresh)
+        _learned(after_one, one, e1, c1, hit1, fresh)
+        before, one = last * np.uint32(0x85EBCA6B), value.astype(np.int64)
     return out
 
 
@@ -227,13 +240,13 @@ def pack_ids(ids: np.ndarray) -> bytes:
     """A block of ids, at least one."""
     alphabet, symbols = alphabet_of(ids)
     lanes, steps = shape_of(len(ids))
-    rows = np.zeros(lanes * steps, np.int64)
+    rows = np.zeros(lanes * steps, np.int32)
     rows[: len(ids)] = symbols
     coder = Coder(lanes, steps)
     code_steps(coder, len(alphabet), steps, np.ascontiguousarray(rows.reshape(lanes, steps).T))
     counts, words = coder.finish()
     known = zlib.compress(np.diff(alphabet.astype(np.int64), prepend=0).astype("<u4").tobytes())
-    data = np.ascontiguousarray(words.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
+    data = words.astype("<u2").tobytes()
     sizes = zlib.compress(counts.astype("<u4").tobytes())
     crc = zlib.crc32(ids.astype("<u4").tobytes())
     return HEAD.pack(len(ids), len(alphabet), crc, len(known), len(sizes), len(data)) + known + sizes + data
@@ -274,12 +287,10 @@ def unpack_ids(stream) -> np.ndarray:
     lanes, steps = shape_of(n)
     alphabet, counts = np.cumsum(_numbers(known, symbols)), _numbers(counts, lanes)
     room = 2 * steps + 4
-    if int(counts.max()) > room or int(counts.sum()) * 3 != len(data):
+    if int(counts.max()) > room or int(counts.sum()) * 2 != len(data):
         raise BadFile("a block's words differ from its table")
-    words = np.zeros((lanes, room), np.int64)
-    flat = np.zeros((len(data) // 3, 4), np.uint8)
-    flat[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
-    words[np.arange(room) < counts[:, None]] = flat.view("<u4").ravel()
+    words = np.zeros((lanes, room), np.uint16)
+    words[np.arange(room) < counts[:, None]] = np.frombuffer(data, "<u2")
     coder = Coder(lanes, steps, np.ascontiguousarray(words.T))
     ids = alphabet[code_steps(coder, symbols, steps, None).T.ravel()[:n]].astype("<u4")
     if zlib.crc32(ids.tobytes()) != crc:

@@ -20,7 +20,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 LONGEST = 64  # bytes of a unit that may be cached; the hash of so few bytes has no built collisions
 WIDTH = 8  # ids of a cached unit at most
-LINE = 64  # pre-tokens that are encoded together
+LINE = 256  # pre-tokens that are encoded together
 PIECE = 1 << 18  # bytes worked on at a time: what a processor's cache holds
 
 _rng = np.random.default_rng(20240229)
@@ -122,7 +122,9 @@ class UnitEncoder:
 
         self.quick = byte_pair_encoder(ranks) if ranks else None
         self.words = pretokens.applies(self.library)
-        if self.words:  # an id that ends a pre-token has the mark of it
+        if self.words:
+            self.plain = pretokens.without_rules(self.library)
+            # an id that ends a pre-token has the mark of it
             self.last = np.array([self.library.id_to_token(i).endswith("</w>") for i in range(self.library.get_vocab_size())])
 
     def library_ids(self, texts: list[str]) -> list[list[int]]:
@@ -137,27 +139,38 @@ class UnitEncoder:
         return out
 
     def unit_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the units in a row and their numbers; plain pre-tokens are encoded many to a line."""
-        if not self.words:
-            found = self.library_ids(texts)
-            sizes = np.array([len(x) for x in found], np.int64)
-            return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
-        plain = np.array([t.isascii() and "<|" not in t for t in texts], bool)
-        own = [t for t, x in zip(texts, plain.tolist()) if x]
-        lines = [" ".join(own[i : i + LINE]) for i in range(0, len(own), LINE)]
-        found = self.library.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32, sum(map(len, found)))
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(own):  # never, by the tokenizer's rules
+        """All ids of the units in a row and their numbers."""
+        found = self.library_ids(texts)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def word_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pre-tokens of folded ``data``, each with white space behind it; plain ones are encoded many to a line."""
+        lengths = ends - starts + 1
+        bounds = np.cumsum(lengths)
+        text = data[ragged(starts, lengths)]
+        text[bounds - 1] = 0x20
+        plain = np.ones(len(starts), bool)
+        plain[np.searchsorted(bounds, pretokens.hard_places(text), "right")] = False
+        own = text if plain.all() else text[np.repeat(plain, lengths)]
+        breaks = np.cumsum(lengths[plain])[LINE - 1 :: LINE] - 1
+        own[breaks] = 0x0A
+        found = self.plain.encode_batch_fast(own[:-1].tobytes().decode().split("\n"), add_special_tokens=False)
+        lists = [e.ids for e in found]
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) != int(plain.sum()):  # never, by the tokenizer's rules
             plain[:] = False
-            ids, ends = ids[:0], ends[:0]
-        rest = self.library_ids([t for t, x in zip(texts, plain.tolist()) if not x])
-        sizes, starts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        sizes[plain], sizes[~plain] = np.diff(ends, prepend=0), [len(x) for x in rest]
-        starts[plain] = ends - sizes[plain]
-        starts[~plain] = len(ids) + np.cumsum(sizes[~plain]) - sizes[~plain]
-        flat = np.concatenate([ids, np.fromiter(chain.from_iterable(rest), np.uint32, int(sizes[~plain].sum()))])
-        return flat[ragged(starts, sizes)], sizes
+            ids, stops = ids[:0], stops[:0]
+        other = np.flatnonzero(~plain)
+        rest, rest_sizes = self.unit_ids([data[a:b].tobytes().decode() for a, b in zip(starts[other].tolist(), ends[other].tolist())])
+        sizes, begins = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
+        sizes[plain], sizes[other] = np.diff(stops, prepend=0), rest_sizes
+        if not len(other):
+            return ids, sizes
+        begins[plain] = stops - sizes[plain]
+        begins[other] = len(ids) + np.cumsum(rest_sizes) - rest_sizes
+        return np.concatenate([ids, rest])[ragged(begins, sizes)], sizes
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (uint32) and the number of ids of each text."""
@@ -206,10 +219,8 @@ class UnitEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         keys = span_hashes(folded, starts, ends)
         slots = (keys >> self.shift).astype(np.int64)
-        hit = (self.keys[slots] == keys) & (self.sizes[slots] > 0) & (ends - starts <= LONGEST)
-        sizes = np.zeros(len(starts), np.int64)
-        sizes[hit] = self.sizes[slots[hit]]
-        rows = self.kept[slots[hit]]
+        sizes = self.sizes.take(slots).astype(np.int64)
+        hit = (self.keys.take(slots) == keys) & (sizes > 0) & (ends - starts <= LONGEST)
         miss = np.flatnonzero(~hit)
         long = ends[miss] - starts[miss] > LONGEST
         _, first, inverse = np.unique(keys[miss[~long]], return_index=True, return_inverse=True)
@@ -217,16 +228,21 @@ class UnitEncoder:
         named[~long] = inverse
         named[long] = len(first) + np.arange(long.sum())  # a long unit is encoded at each place, never by its hash
         inverse, which = named, np.concatenate([miss[~long][first], miss[long]])
-        flat, new_sizes = self.unit_ids([buffer[a:b].decode() for a, b in zip(starts[which].tolist(), ends[which].tolist())])
+        if self.words:
+            flat, new_sizes = self.word_ids(folded, starts[which], ends[which])
+        else:
+            flat, new_sizes = self.unit_ids([buffer[a:b].decode() for a, b in zip(starts[which].tolist(), ends[which].tolist())])
         new_starts = np.cumsum(new_sizes) - new_sizes
+        sizes[miss] = 0
+        kept = self.kept.ravel().take(ragged(slots * WIDTH, sizes))  # of the known units in a row
         sizes[miss] = new_sizes[inverse]
-        places = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), np.uint32)
-        known, at = sizes[hit], places[hit]
-        for j in range(int(known.max(initial=0))):  # most units have one id or two
-            has = np.flatnonzero(known > j)
-            out[at[has] + j] = rows[has, j]
-        out[ragged(places[miss], sizes[miss])] = flat[ragged(new_starts[inverse], new_sizes[inverse])]
+        if len(miss):
+            out = np.empty(int(sizes.sum()), np.uint32)
+            fresh = np.repeat(~hit, sizes)
+            out[~fresh] = kept
+            out[fresh] = flat[ragged(new_starts[inverse], new_sizes[inverse])]
+        else:
+            out = kept.astype(np.uint32)
         # keep what is short enough; a later unit takes the slot of an earlier one
         keep = np.flatnonzero((new_sizes > 0) & (new_sizes <= WIDTH) & (ends[which] - starts[which] <= LONGEST))
         at = slots[which[keep]]
