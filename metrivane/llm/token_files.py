@@ -121,19 +121,22 @@ class Mixer:
 
     def __init__(self):
         kinds = SURE + 1
-        self.tried = [np.full(kinds, 2, np.int64), np.full(2 * kinds, 2, np.int64), np.full(kinds, 2, np.int64)]
-        self.held = [np.ones(kinds, np.int64), np.ones(2 * kinds, np.int64), np.ones(kinds, np.int64)]
+        # what is counted: by the confidence of order 2, by that of order 1 and sameness, and by that of order 1 after a miss
+        self.tried = np.full(4 * kinds, 2, np.int64)
+        self.held = np.ones(4 * kinds, np.int64)
         self.weight = np.full((2, 2), 1 << 15, np.int64)  # order, whether both predict the same
+        self.shape = kinds, kinds, 2
         self.mix()
 
     def mix(self):
-        two, one, after = (_between(4096 * h // n, 1, 4095) for h, n in zip(self.held, self.tried))
-        self.two, self.one = _STRETCH[two][:, None], _STRETCH[one].reshape(1, -1, 2)
-        both = (self.weight[0] * self.two[:, :, None] + self.weight[1] * self.one) >> 16
+        kinds = self.shape[0]
+        share = _between((self.held << 12) // self.tried, 1, 4095)
+        after = _between(share[3 * kinds :], 16, 4080)
+        self.two, self.one = _STRETCH[share[:kinds]], _STRETCH[share[kinds : 3 * kinds]].reshape(kinds, 2)
+        both = (self.weight[0] * self.two[:, None, None] + self.weight[1] * self.one) >> 16
         self.p = _SQUASH[_between(both, -2048, 2047) + 2048]
         first = self.p << 4
-        second = ((65536 - first) * _between(after, 16, 4080)[None, :, None]) >> 12
-        second = np.minimum(second, 65536 - REST - first)
+        second = np.minimum(((65536 - first) * after[:, None]) >> 12, 65536 - REST - first)
         second[:, :, 1] = 0
         first, second = first.ravel(), second.ravel()
         self.begin = np.concatenate([first + second, np.zeros_like(first), first])  # of a miss, order 2, order 1
@@ -141,16 +144,16 @@ class Mixer:
 
     def learn(self, cases: np.ndarray):
         """The states of a step, in the first third where both orders missed, in the second where order 2 was right, else in the last."""
-        counts = np.bincount(cases, minlength=3 * self.p.size).reshape(3, *self.p.shape)
-        n, hit, other = counts.sum(0), counts[1], counts[2]
-        error = (hit << 12) - n * self.p
-        slope = [self.two[:, 0] @ error.sum(1), (self.one[0] * error.sum(0)).sum(0)]
-        self.weight = _between(self.weight + (np.stack(slope) // len(cases) >> 4), -(1 << 18), 1 << 18)
-        missed = (n - hit)[:, :, 0].sum(0)
-        news = [(n.sum((1, 2)), hit.sum((1, 2))), (n.sum(0).ravel(), (hit + other).sum(0).ravel()), (missed, other[:, :, 0].sum(0))]
-        for k, (some, right) in enumerate(news):
-            self.tried[k] += some - (self.tried[k] - 2 >> 3)
-            self.held[k] += right - (self.held[k] - 1 >> 3)
+        miss, hit, other = np.bincount(cases, minlength=3 * self.p.size).reshape(3, *self.shape)
+        some = miss + other
+        error = (hit << 12) - (some + hit) * self.p
+        slope = np.stack([self.two @ error.sum(1), (self.one * error.sum(0)).sum(0)])
+        self.weight = _between(self.weight + (slope // len(cases) >> 4), -(1 << 18), 1 << 18)
+        all_one, hit_one, other_one = (some + hit).sum(0), hit.sum(0), other.sum(0)
+        tried = np.concatenate([(some + hit).sum((1, 2)), all_one.ravel(), all_one[:, 0] - hit_one[:, 0]])
+        held = np.concatenate([hit.sum((1, 2)), (hit_one + other_one).ravel(), other_one[:, 0]])
+        self.tried += tried - (self.tried - 2 >> 3)
+        self.held += held - (self.held - 1 >> 3)
         self.mix()
 
 
@@ -229,11 +232,12 @@ def alphabet_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(different ids, the place of every id among them); ids of a usual vocabulary are not sorted."""
     if int(ids.max()) > max(len(ids), 1 << 16):
         return np.unique(ids, return_inverse=True)
-    seen = np.zeros(int(ids.max()) + 1, np.int64)
-    seen[ids] = 1
+    places = ids.astype(np.int64)
+    seen = np.zeros(int(ids.max()) + 1, np.int32)
+    seen[places] = 1
     alphabet = np.flatnonzero(seen)
     seen[alphabet] = np.arange(len(alphabet))
-    return alphabet.astype(ids.dtype), seen[ids]
+    return alphabet.astype(ids.dtype), seen.take(places)
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
@@ -289,10 +293,12 @@ def unpack_ids(stream) -> np.ndarray:
     room = 2 * steps + 4
     if int(counts.max()) > room or int(counts.sum()) * 2 != len(data):
         raise BadFile("a block's words differ from its table")
-    words = np.zeros((lanes, room), np.uint16)
-    words[np.arange(room) < counts[:, None]] = np.frombuffer(data, "<u2")
-    coder = Coder(lanes, steps, np.ascontiguousarray(words.T))
-    ids = alphabet[code_steps(coder, symbols, steps, None).T.ravel()[:n]].astype("<u4")
+    own = np.zeros((lanes, int(counts.max())), np.uint16)
+    own[np.arange(own.shape[1]) < counts[:, None]] = np.frombuffer(data, "<u2")
+    words = np.zeros((room, lanes), np.uint16)
+    words[: own.shape[1]] = own.T
+    coder = Coder(lanes, steps, words)
+    ids = alphabet.astype("<u4").take(code_steps(coder, symbols, steps, None).T.ravel()[:n])
     if zlib.crc32(ids.tobytes()) != crc:
         raise BadFile("a block's checksum differs")
     return ids

@@ -127,6 +127,9 @@ class UnitEncoder:
             # an id that ends a pre-token has the mark of it
             self.last = np.array([self.library.id_to_token(i).endswith("</w>") for i in range(self.library.get_vocab_size())])
 
+    def second(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(len(self.keys) - 1)).astype(np.int64)
+
     def library_ids(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text.  With ``ranks``, plain words without a special token's bracket go through the
         quicker library that reads the same vocabulary as ranks."""
@@ -219,10 +222,15 @@ class UnitEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         keys = span_hashes(folded, starts, ends)
         slots = (keys >> self.shift).astype(np.int64)
+        brief = ends - starts <= LONGEST
         sizes = self.sizes.take(slots).astype(np.int64)
-        hit = (self.keys.take(slots) == keys) & (sizes > 0) & (ends - starts <= LONGEST)
+        hit = (self.keys.take(slots) == keys) & (sizes > 0) & brief
+        other = np.flatnonzero(~hit)  # in their second place, or not known
+        slots[other] = at = self.second(keys[other])
+        sizes[other] = self.sizes[at]
+        hit[other] = (self.keys[at] == keys[other]) & (sizes[other] > 0) & brief[other]
         miss = np.flatnonzero(~hit)
-        long = ends[miss] - starts[miss] > LONGEST
+        long = ~brief[miss]
         _, first, inverse = np.unique(keys[miss[~long]], return_index=True, return_inverse=True)
         named = np.empty(len(miss), np.int64)
         named[~long] = inverse
@@ -243,9 +251,10 @@ class UnitEncoder:
             out[fresh] = flat[ragged(new_starts[inverse], new_sizes[inverse])]
         else:
             out = kept.astype(np.uint32)
-        # keep what is short enough; a later unit takes the slot of an earlier one
-        keep = np.flatnonzero((new_sizes > 0) & (new_sizes <= WIDTH) & (ends[which] - starts[which] <= LONGEST))
-        at = slots[which[keep]]
+        # keep what is short enough, in its first place if that is free; in its second it takes the place of an earlier one
+        keep = np.flatnonzero((new_sizes > 0) & (new_sizes <= WIDTH) & brief[which])
+        at = (keys[which[keep]] >> self.shift).astype(np.int64)
+        at = np.where(self.sizes[at] == 0, at, slots[which[keep]])
         self.keys[at], self.sizes[at] = keys[which[keep]], new_sizes[keep]
         padded = np.zeros((len(keep), WIDTH), self.kept.dtype)
         for j in range(WIDTH):

@@ -62,3 +62,19 @@ def test_latin_pre_tokens_are_encoded_many_to_a_line(monkeypatch):
         assert n.tolist() == list(map(len, want)) and flat.tolist() == [i for w in want for i in w]
     hard = ("×", "÷", "İ", "́", "日", "<|", "Å")
     assert alone and all(any(x in t for x in hard) for t in alone)
+
+
+def test_a_word_does_not_drive_another_from_its_place(monkeypatch):
+    encoder = tokens.UnitEncoder(P.path("word_bpe_49k.json"), log_slots=4)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    at = np.arange(0, len(data), 3)
+    keys = tokens.span_hashes(data, at, at + 3)
+    first, second = (keys >> encoder.shift).astype(int), encoder.second(keys)
+    two = next((i, j) for i in range(400) for j in range(i) if first[i] == first[j] != second[i] and first[i] != second[j])
+    text, missed, old = " ".join(words[i] for i in two).encode(), [], encoder.word_ids
+    monkeypatch.setattr(encoder, "word_ids", lambda data, starts, ends: (missed.append(len(starts)), old(data, starts, ends))[1])
+    for word in [*text.split(), text]:
+        flat, _ = encoder.encode([word])
+        assert flat.tolist() == encoder.library.encode(word.decode(), add_special_tokens=False).ids
+    assert missed == [1, 1, 0]
